@@ -1,6 +1,7 @@
 from cartspark.functions.expressions import (
     alert_status,
     clean_nan,
+    date_of,
     event_time,
     first_list_item,
     hour_of,
@@ -9,12 +10,14 @@ from cartspark.functions.expressions import (
     percent,
     round_half_even,
     to_long,
+    utc_text,
     valid_epoch_ms,
 )
 
 __all__ = [
     "alert_status",
     "clean_nan",
+    "date_of",
     "event_time",
     "first_list_item",
     "hour_of",
@@ -23,5 +26,6 @@ __all__ = [
     "percent",
     "round_half_even",
     "to_long",
+    "utc_text",
     "valid_epoch_ms",
 ]

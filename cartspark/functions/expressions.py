@@ -12,6 +12,7 @@ NORMAL = "NORMAL"
 ALERT_THRESHOLD = 60.0
 MINUTE_MS = 60_000
 HOUR_MS = 3_600_000
+DAY_MS = 86_400_000
 # Epoch milliseconds outside the range of a 64-bit nanosecond clock (years 1677 to 2262) are bad values.
 MAX_EPOCH_MS = 9_223_372_036_854
 
@@ -55,6 +56,16 @@ def hour_of(timestamp: Column) -> Column:
     return F.timestamp_millis(pane_floor(timestamp, HOUR_MS) * F.lit(HOUR_MS))
 
 
+def date_of(timestamp: Column) -> Column:
+    """UTC date of an epoch-millisecond column."""
+    return F.date_from_unix_date(pane_floor(timestamp, DAY_MS).cast("int"))
+
+
+def utc_text(moment: Column, pattern: str) -> Column:
+    """A TIMESTAMP as text in UTC, whatever the session time zone is."""
+    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), pattern)
+
+
 def to_long(value: Column, data_type: T.DataType) -> Column:
     """Read a number as LONG; text such as ``117.0`` counts as a number, anything unreadable becomes null."""
     if isinstance(data_type, T.LongType):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartspark.functions import first_list_item
+from cartspark.functions import first_list_item, utc_text
 from cartspark.operators.windows import latest_window
 
 
@@ -46,7 +46,7 @@ def alert_summary(summary: DataFrame, top: DataFrame, windows: DataFrame) -> Dat
     recent = first_list_item(latest["top_5_abandoned_item_ids"], items)
 
     def time(name: str):
-        return F.date_format(latest[name], "yyyy-MM-dd HH:mm:ss")
+        return utc_text(latest[name], "yyyy-MM-dd HH:mm:ss")
 
     historical = F.format_string(
         "Historical abandonment was %.2f%%. ", F.bround("overall_cart_abandonment_rate", 2)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,11 +76,12 @@ def canonical_events(
     log: DataFrame,
     only: Iterable[str] | None = None,
     names: Mapping[str, str] = EVENT_LOG_NAMES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """The event table from an event log (event_id, ts, user_id, event_type, props).
 
     ``only`` keeps the given events. It filters the log's own names, so that the filter reaches the file scan,
-    which a filter on the renamed column would not.
+    which a filter on the renamed column would not. ``keep`` names columns of the log to carry along.
     """
     if only is not None:
         wanted = set(only)
@@ -91,7 +92,8 @@ def canonical_events(
     for raw, name in names.items():
         event = F.when(F.col("event_type") == raw, F.lit(name)).otherwise(event)
     return log.select(
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+        *keep,
+        _utc_millis(log, "ts").alias("timestamp"),
         F.col("user_id").cast("bigint").alias("visitorid"),
         event.alias("event"),
         F.get_json_object("props", "$.k").try_cast("bigint").alias("itemid"),
@@ -99,6 +101,15 @@ def canonical_events(
     )
 
 
+def _utc_millis(df: DataFrame, name: str) -> Column:
+    """Epoch milliseconds; a timestamp without a zone is taken as UTC."""
+    moment = F.col(name).cast("timestamp")
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType) and zone != "UTC":
+        moment = F.from_utc_timestamp(moment, zone)
+    return F.unix_millis(moment)
+
+
 def _event_order() -> list:
     return [F.col(name).asc_nulls_last() for name in EVENT_SCHEMA.names]
 

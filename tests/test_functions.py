@@ -1,0 +1,73 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cartspark import functions as fn
+
+
+def value(spark, column):
+    return spark.range(1).select(column.alias("v")).first()["v"]
+
+
+@pytest.mark.parametrize(
+    ("part", "whole", "expected"), [(1, 4, 25.0), (0, 5, 0.0), (3, 0, 0.0), (None, 4, 0.0)]
+)
+def test_percent_has_a_zero_guard(spark, part, whole, expected):
+    assert value(spark, fn.percent(F.lit(part).cast("bigint"), F.lit(whole))) == expected
+
+
+@pytest.mark.parametrize(("number", "expected"), [(3.125, 3.12), (3.375, 3.38), (0.125, 0.12)])
+def test_rounding_is_half_even(spark, number, expected):
+    assert value(spark, fn.round_half_even(F.lit(number), 2)) == expected
+
+
+@pytest.mark.parametrize(
+    ("rate", "status"),
+    [(60.0, "NORMAL"), (60.0000001, "HIGH_RISK"), (0.0, "NORMAL"), (100.0, "HIGH_RISK")],
+)
+def test_alert_is_strictly_above_the_threshold(spark, rate, status):
+    assert value(spark, fn.alert_status(F.lit(rate))) == status
+
+
+def test_bad_epoch_has_no_time(spark):
+    for bad in (None, 2**62, -(2**62)):
+        assert value(spark, fn.event_time(F.lit(bad).cast("bigint"))) is None
+    assert value(spark, F.unix_millis(fn.event_time(F.lit(1_704_067_207_179)))) == 1_704_067_207_179
+
+
+def test_panes_floor_and_ceil(spark):
+    for millis, floor, ceil in [(0, 0, 0), (1, 0, 1), (59_999, 0, 1), (60_000, 1, 1), (-1, -1, 0)]:
+        assert value(spark, fn.pane_floor(F.lit(millis), 60_000)) == floor
+        assert value(spark, fn.pane_ceil(F.lit(millis), 60_000)) == ceil
+
+
+def test_hour_and_date_ignore_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        moment = F.lit(1_704_069_000_000)  # 2024-01-01 00:30 UTC
+        assert value(spark, F.unix_millis(fn.hour_of(moment))) == 1_704_067_200_000
+        assert value(spark, fn.date_of(moment).cast("string")) == "2024-01-01"
+        text = fn.utc_text(fn.event_time(moment), "yyyy-MM-dd HH:mm:ss")
+        assert value(spark, text) == "2024-01-01 00:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize(
+    ("text", "number"), [("12", 12), ("12.0", 12), ("x", None), ("", None), (None, None)]
+)
+def test_to_long_from_text(spark, text, number):
+    assert value(spark, fn.to_long(F.lit(text).cast("string"), T.StringType())) == number
+
+
+def test_to_long_from_double(spark):
+    assert value(spark, fn.to_long(F.lit(7.0), T.DoubleType())) == 7
+    assert value(spark, fn.to_long(F.lit(float("nan")), T.DoubleType())) is None
+
+
+@pytest.mark.parametrize(
+    ("text", "item"), [('["7", "8"]', "7"), ("[]", ""), (None, ""), ("not a list", ""), ("[5]", "5")]
+)
+def test_first_list_item(spark, text, item):
+    assert value(spark, fn.first_list_item(F.lit(text).cast("string"), T.StringType())) == item
