@@ -32,9 +32,11 @@ def decode_records(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     JSON types are taken as they come: a field that does not fit its column is null and the record still good.
     """
-    # As in lenient base64 readers, characters outside the alphabet are skipped before decoding.
+    # As in lenient base64 readers, characters outside the alphabet are skipped. Padding must be complete, which
+    # the decoding function itself does not ask for.
     letters = F.regexp_replace("data", "[^A-Za-z0-9+/=]", "")
-    text = F.try_to_binary(letters, F.lit("base64")).cast("string")
+    whole = F.when(F.length(letters) % 4 == 0, letters)
+    text = F.try_to_binary(whole, F.lit("base64")).cast("string")
     decoded = (
         records.select(*keep, "data", text.alias("text"))
         .withColumn("valid_text", F.try_validate_utf8("text"))
