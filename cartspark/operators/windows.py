@@ -48,7 +48,10 @@ def sliding_windows(
     pane_ms = slide_minutes * MINUTE_MS
     carts = _cart_panes(events if cart_events is None else cart_events, pane_ms)
     pairs = _summarise_items(_items_per_window(_window_runs(carts, span)), PAIR_COUNTS)
-    windows = _window_totals(events, span, pane_ms).join(pairs, "start", "left")
+    # Both sides are already partitioned by start, so joining them in place costs no shuffle and no broadcast.
+    windows = _window_totals(events, span, pane_ms).join(
+        pairs.hint("shuffle_hash"), "start", "left"
+    )
     return _window_rows(windows, F.col("start") * pane_ms, width_minutes, threshold)
 
 
@@ -182,15 +185,18 @@ def _summarise_items(items: DataFrame, counts: tuple[str, ...]) -> DataFrame:
     """
     abandoned = F.col("estimated_abandoned_count")
     in_top = F.col("itemid").isNotNull() & (abandoned > 0)
-    bucket = Window.partitionBy("bucket", "start")
-    rank = F.row_number().over(bucket.orderBy(F.desc(in_top), F.desc(abandoned), F.asc("itemid")))
+    ranking = Window.partitionBy("bucket", "start").orderBy(
+        F.desc(in_top), F.desc(abandoned), F.asc("itemid")
+    )
+    # The sums use the order of the ranking, although they need none, so that one sort serves both.
+    whole = ranking.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     best = items.select(
         "start",
         "itemid",
-        *(F.sum(name).over(bucket).alias(f"bucket_{name}") for name in counts),
+        *(F.sum(name).over(whole).alias(f"bucket_{name}") for name in counts),
         in_top.alias("in_top"),
         abandoned,
-        rank.alias("rank"),
+        F.row_number().over(ranking).alias("rank"),
     ).filter(F.col("rank") <= TOP_ITEMS)
     ranked = F.collect_list(F.when(F.col("in_top"), F.struct(-abandoned, F.col("itemid"))))
     return (
@@ -200,7 +206,7 @@ def _summarise_items(items: DataFrame, counts: tuple[str, ...]) -> DataFrame:
                 F.sum(F.when(F.col("rank") == 1, F.col(f"bucket_{name}"))).alias(name)
                 for name in counts
             ),
-            F.slice(F.array_sort(ranked), 1, TOP_ITEMS).alias("top_items"),
+            F.slice(F.sort_array(ranked), 1, TOP_ITEMS).alias("top_items"),
         )
         .withColumn(
             "top_5_abandoned_item_ids",

@@ -16,6 +16,7 @@ from cartspark.session import scratch_path
 from cartspark.sources import (
     CART_EVENTS,
     EVENT_SCHEMA,
+    LOG_SCHEMA,
     canonical_events,
     first_events,
     read_events,
@@ -27,7 +28,7 @@ ENVELOPE_RECORDS = 100
 
 
 def event_log(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
+    return spark.read.schema(LOG_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,10 +40,9 @@ def cart_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = event_log(spark, folder).schema
     # Written as a pattern, because a stream takes a folder or a pattern but not the name of a single file.
     path = f"{folder}/{{events.parquet}}"
-    return canonical_events(st.stream_events(spark, path, "parquet", schema=schema))
+    return canonical_events(st.stream_events(spark, path, "parquet", schema=LOG_SCHEMA))
 
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:

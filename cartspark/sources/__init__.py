@@ -3,6 +3,7 @@ from cartspark.sources.events import (
     CART_EVENTS,
     EVENT_SCHEMA,
     EVENT_TYPES,
+    LOG_SCHEMA,
     PURCHASE,
     REQUIRED_COLUMNS,
     VIEW,
@@ -20,6 +21,7 @@ __all__ = [
     "CART_EVENTS",
     "EVENT_SCHEMA",
     "EVENT_TYPES",
+    "LOG_SCHEMA",
     "PURCHASE",
     "REQUIRED_COLUMNS",
     "VIEW",

@@ -31,6 +31,17 @@ EVENT_SCHEMA = T.StructType(
 # Text files are read as strings by name and cast afterwards: a bad number then costs one cell, not its row.
 TEXT_SCHEMA = T.StructType([T.StructField(f.name, T.StringType()) for f in EVENT_SCHEMA])
 
+# The event log, a table of user actions of many kinds that carts can be read from.
+LOG_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
 # Event names of the event log and what they mean for a cart; names not listed stay as they are.
 EVENT_LOG_NAMES = {"click": ADD_TO_CART, "purchase": PURCHASE}
 

@@ -33,17 +33,17 @@ def decode_records(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     JSON types are taken as they come: a field that does not fit its column is null and the record still good.
     """
     # As in lenient base64 readers, characters outside the alphabet are skipped. Padding must be complete, which
-    # the decoding function itself does not ask for.
-    letters = F.regexp_replace("data", "[^A-Za-z0-9+/=]", "")
-    whole = F.when(F.length(letters) % 4 == 0, letters)
-    text = F.try_to_binary(whole, F.lit("base64")).cast("string")
+    # the decoding function itself does not ask for. Every step is a column of its own, so it is computed once.
+    whole = F.when(F.length("letters") % 4 == 0, F.col("letters"))
     decoded = (
-        records.select(*keep, "data", text.alias("text"))
+        records.select(*keep, "data")
+        .withColumn("letters", F.regexp_replace("data", "[^A-Za-z0-9+/=]", ""))
+        .withColumn("text", F.try_to_binary(whole, F.lit("base64")).cast("string"))
         .withColumn("valid_text", F.try_validate_utf8("text"))
         .withColumn("payload", F.try_parse_json("valid_text"))
+        # Valid JSON is an object if and only if it opens with a brace.
         .withColumn(
-            "is_object",
-            F.coalesce(F.schema_of_variant("payload").startswith("OBJECT"), F.lit(False)),
+            "is_object", F.col("payload").isNotNull() & F.col("valid_text").rlike(r"^[ \t\r\n]*\{")
         )
     )
     reason = (
