@@ -28,7 +28,6 @@ from cartspark.sources.events import ADD_TO_CART, CART_EVENTS, PURCHASE
 EVENT_COUNTS = ("event_count", "addtocart_count", "transaction_count")
 PAIR_COUNTS = ("pair_count", "estimated_abandoned_count")
 TOP_ITEMS = 5
-BUCKETS_PER_PARTITION = 4
 
 
 def sliding_windows(
@@ -75,7 +74,7 @@ def _window_totals(events: DataFrame, span: int, pane_ms: int) -> DataFrame:
         )
     ).scalar()
     return (
-        panes.withColumn("start", F.explode(F.sequence(F.col("pane") - (span - 1), F.col("pane"))))
+        panes.selectExpr(f"explode(sequence(pane - {span - 1}, pane)) AS start", *EVENT_COUNTS)
         .filter(F.col("start") >= bounds["first_start"])
         .filter(F.col("start") + span <= bounds["last_end"])
         .groupBy("start")
@@ -106,75 +105,64 @@ def _cart_panes(events: DataFrame, pane_ms: int) -> DataFrame:
 def _window_runs(panes: DataFrame, span: int) -> DataFrame:
     """Per pair and pane with an add: the window starts it owns, and those of them without a purchase."""
     pair = "OVER (PARTITION BY visitorid, itemid ORDER BY pane)"
-    neighbours = panes.withColumns(
-        {
-            "next_add": F.expr(f"lead(add_pane) IGNORE NULLS {pair}"),
-            "next_buy": F.expr(f"lead(buy_pane) IGNORE NULLS {pair}"),
-            "last_buy": F.expr(f"lag(buy_pane) IGNORE NULLS {pair}"),
-        }
+    neighbours = panes.selectExpr(
+        "itemid",
+        "add_pane",
+        "buy_pane",
+        f"lead(add_pane) IGNORE NULLS {pair} AS next_add",
+        f"lead(buy_pane) IGNORE NULLS {pair} AS next_buy",
+        f"lag(buy_pane) IGNORE NULLS {pair} AS last_buy",
     )
     # least and greatest skip nulls, so a missing neighbour sets no limit.
-    first = F.col("add_pane") - (span - 1)
-    last = F.least(F.col("add_pane"), F.col("next_add") - span)
-    return neighbours.filter(F.col("add_pane").isNotNull()).select(
+    return neighbours.filter("add_pane IS NOT NULL").selectExpr(
         "itemid",
-        first.alias("first"),
-        last.alias("last"),
-        F.greatest(first, F.col("last_buy") + 1).alias("first_open"),
-        F.when(F.col("buy_pane").isNull(), F.least(last, F.col("next_buy") - span)).alias("last_open"),
+        f"add_pane - {span - 1} AS first",
+        f"least(add_pane, next_add - {span}) AS last",
+        f"greatest(add_pane - {span - 1}, last_buy + 1) AS first_open",
+        "CASE WHEN buy_pane IS NULL THEN "
+        f"least(add_pane, next_add - {span}, next_buy - {span}) END AS last_open",
     )
 
 
 def _items_per_window(runs: DataFrame) -> DataFrame:
     """Pairs and abandoned pairs per window and item, as running totals of the ends of the runs."""
-
-    def step(at: Column, pairs: int, abandoned: int) -> Column:
-        return F.struct(
-            at.alias("at"), F.lit(pairs).alias("pair_step"), F.lit(abandoned).alias("open_step")
-        )
-
-    owned = F.array(step(F.col("first"), 1, 0), step(F.col("last") + 1, -1, 0))
-    still_open = F.array(step(F.col("first_open"), 0, 1), step(F.col("last_open") + 1, 0, -1))
-    steps = runs.select(
+    steps = runs.selectExpr(
         "itemid",
-        F.inline(
-            F.when(
-                F.col("first_open") <= F.col("last_open"), F.concat(owned, still_open)
-            ).otherwise(owned)
-        ),
-    )
-    buckets = BUCKETS_PER_PARTITION * _shuffle_partitions(runs.sparkSession)
-    ends = (
+        "stack(4, first, 1, 0, last + 1, -1, 0, "
+        "if(first_open <= last_open, first_open, NULL), 0, 1, "
+        "if(first_open <= last_open, last_open + 1, NULL), 0, -1) AS (at, pair_step, open_step)",
+    ).filter("at IS NOT NULL")
+    buckets = _buckets(runs.sparkSession)
+    totals = (
         steps.groupBy("itemid", "at")
         .agg(F.sum("pair_step").alias("pair_step"), F.sum("open_step").alias("open_step"))
-        .filter((F.col("pair_step") != 0) | (F.col("open_step") != 0))
+        .filter("pair_step != 0 OR open_step != 0")
         .withColumn("bucket", _bucket(buckets))
-        # The running totals and the ranking per bucket both work on this one shuffle.
-        .repartition("bucket")
+        # One bucket per partition: running totals and the ranking in buckets both work on this one shuffle.
+        .repartitionById(buckets, "bucket")
     )
-    in_time = Window.partitionBy("bucket", "itemid").orderBy("at")
-    so_far = in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_time = "OVER (PARTITION BY bucket, itemid ORDER BY at"
+    so_far = f"{in_time} ROWS UNBOUNDED PRECEDING)"
     return (
-        ends.select(
+        totals.selectExpr(
             "bucket",
             "itemid",
             "at",
-            F.lead("at").over(in_time).alias("until"),
-            F.sum("pair_step").over(so_far).alias("pair_count"),
-            F.sum("open_step").over(so_far).alias("estimated_abandoned_count"),
+            f"lead(at) {in_time}) AS until",
+            f"sum(pair_step) {so_far} AS pair_count",
+            f"sum(open_step) {so_far} AS estimated_abandoned_count",
         )
-        .filter(F.col("pair_count") > 0)
-        .withColumn("start", F.explode(F.sequence(F.col("at"), F.col("until") - 1)))
-        .select("bucket", "start", "itemid", *PAIR_COUNTS)
+        .filter("pair_count > 0")
+        .selectExpr("bucket", "explode(sequence(at, until - 1)) AS start", "itemid", *PAIR_COUNTS)
     )
 
 
-def _shuffle_partitions(spark: SparkSession) -> int:
+def _buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("itemid"), F.lit(buckets))
+    return F.pmod(F.xxhash64("itemid"), F.lit(buckets)).cast("int")
 
 
 def _summarise_items(items: DataFrame, counts: tuple[str, ...]) -> DataFrame:
@@ -185,34 +173,29 @@ def _summarise_items(items: DataFrame, counts: tuple[str, ...]) -> DataFrame:
     """
     abandoned = F.col("estimated_abandoned_count")
     in_top = F.col("itemid").isNotNull() & (abandoned > 0)
-    ranking = Window.partitionBy("bucket", "start").orderBy(
-        F.desc(in_top), F.desc(abandoned), F.asc("itemid")
-    )
+    order = (F.desc("in_top"), F.desc("estimated_abandoned_count"), F.asc("itemid"))
+    ranking = Window.partitionBy("bucket", "start").orderBy(*order)
     # The sums use the order of the ranking, although they need none, so that one sort serves both.
     whole = ranking.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    best = items.select(
-        "start",
-        "itemid",
-        *(F.sum(name).over(whole).alias(f"bucket_{name}") for name in counts),
-        in_top.alias("in_top"),
-        abandoned,
-        F.row_number().over(ranking).alias("rank"),
-    ).filter(F.col("rank") <= TOP_ITEMS)
-    ranked = F.collect_list(F.when(F.col("in_top"), F.struct(-abandoned, F.col("itemid"))))
-    return (
-        best.groupBy("start")
-        .agg(
-            *(
-                F.sum(F.when(F.col("rank") == 1, F.col(f"bucket_{name}"))).alias(name)
-                for name in counts
-            ),
-            F.slice(F.sort_array(ranked), 1, TOP_ITEMS).alias("top_items"),
-        )
-        .withColumn(
-            "top_5_abandoned_item_ids",
-            F.transform("top_items", lambda entry: entry["itemid"].cast("string")),
+    best = (
+        items.withColumn("in_top", in_top)
+        .select(
+            "start",
+            "itemid",
+            *(F.sum(name).over(whole).alias(f"bucket_{name}") for name in counts),
+            "in_top",
+            "estimated_abandoned_count",
+            F.row_number().over(ranking).alias("rank"),
         )
-        .drop("top_items")
+        .filter(F.col("rank") <= TOP_ITEMS)
+        .withColumn("place", F.row_number().over(Window.partitionBy("start").orderBy(*order)))
+    )
+    places = [f"max(if(in_top AND place = {n}, itemid, NULL))" for n in range(1, TOP_ITEMS + 1)]
+    return best.groupBy("start").agg(
+        *(F.expr(f"sum(if(rank = 1, bucket_{name}, NULL))").alias(name) for name in counts),
+        F.expr(f"CAST(array_compact(array({', '.join(places)})) AS ARRAY<STRING>)").alias(
+            "top_5_abandoned_item_ids"
+        ),
     )
 
 
@@ -255,9 +238,10 @@ def windows_from_groups(
 ) -> DataFrame:
     """Window rows from ``cart_groups``, for windows whose groups are all present."""
     added = F.col("addtocart_count") > 0
-    buckets = BUCKETS_PER_PARTITION * _shuffle_partitions(groups.sparkSession)
     items = groups.groupBy(
-        F.unix_millis("window.start").alias("start"), _bucket(buckets).alias("bucket"), "itemid"
+        F.unix_millis("window.start").alias("start"),
+        _bucket(_buckets(groups.sparkSession)).alias("bucket"),
+        "itemid",
     ).agg(
         *(F.sum(name).alias(name) for name in EVENT_COUNTS),
         F.count_if(added).alias("pair_count"),

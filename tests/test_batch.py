@@ -172,3 +172,25 @@ def test_ratio_to_baseline(spark):
     }
     overall = ops.ratio_to_baseline(runs.filter("cluster = 'a'"), "seconds", "workers")
     assert sorted(r["ratio"] for r in overall.collect()) == [0.2, 0.5, 1.0]
+
+
+def test_abandonment_by_the_hour_equals_a_semi_join(spark):
+    events = canonical_events(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    state = ops.pair_state(events)
+    first_adds = (
+        events.filter(F.col("event") == ADD)
+        .groupBy("visitorid", "itemid")
+        .agg(F.min("timestamp").alias("first"))
+    )
+    left = first_adds.join(ops.abandoned_pairs(state), ["visitorid", "itemid"], "left_semi")
+    hour = (F.floor(F.col("first") / HOUR) * HOUR).alias("hour")
+    expected = {row["hour"]: row["count"] for row in left.groupBy(hour).count().collect()}
+    got = hours(ops.hourly_abandonment_trend(state))
+    assert {h: row[1] for h, row in got.items() if row[1]} == expected
+    assert {h for h, row in got.items() if not row[1]}.isdisjoint(expected)
+
+
+def test_pairs_survive_lost_precision_of_keys(events):
+    big = 2**53
+    table = events((1, big, ADD, 1), (2, big + 1, ADD, 1), (3, big, BUY, 1))
+    assert pairs_of(ops.abandoned_pairs(ops.pair_state(table))) == {(big + 1, 1)}

@@ -240,3 +240,24 @@ def test_csv_stream_refuses_a_wrong_header(spark, folder):
     query = st.archive_stream(stream, f"{folder}/out", f"{folder}/checkpoint")
     with pytest.raises(Exception, match="header|STREAM_FAILED"):
         query.awaitTermination()
+
+
+def test_publish_works_on_a_stream(spark, folder):
+    events = canonical_events(spark.read.parquet(LOG))
+    events.write.json(f"{folder}/in")
+    records = plans.publish(st.stream_events(spark, f"{folder}/in"))
+    records.writeStream.format("parquet").option("path", f"{folder}/out").option(
+        "checkpointLocation", f"{folder}/checkpoint"
+    ).trigger(availableNow=True).start().awaitTermination()
+    sent = spark.read.parquet(f"{folder}/out")
+    fields = F.from_json("value", EVENT_SCHEMA)
+    assert rows(sent.select(fields.alias("f")).select("f.*")) == rows(events)
+    assert sent.filter(F.col("key") != fields["visitorid"].cast("string")).isEmpty()
+
+
+def test_archive_feeds_the_batch_job(spark, folder):
+    events = canonical_events(spark.read.parquet(LOG))
+    events.write.parquet(f"{folder}/in")
+    plans.archive(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", "parquet")
+    tables = plans.batch_report(spark, read_events(spark, f"{folder}/out", "json"), f"{folder}/results")
+    assert tables["batch_summary"].first()["overall_cart_abandonment_rate"] == 93.5644

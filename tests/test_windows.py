@@ -171,3 +171,31 @@ def test_totals_agree_on_test_data(spark, width, expected):
         F.count_if(F.col("alert_status") == "HIGH_RISK"),
     )
     assert tuple(totals.first()) == expected
+
+
+def test_abandoned_pairs_of_a_window_are_a_set_difference(events):
+    rows = random_events(31, 400, 30, 5, 6)
+    table = events(*rows)
+    size = 30 * MINUTE
+    pairs = {
+        name: table.filter((F.col("event") == name) & F.col("timestamp").between(0, size - 1)).select(
+            "visitorid", "itemid"
+        )
+        for name in (ADD, BUY)
+    }
+    by_set = pairs[ADD].distinct().subtract(pairs[BUY]).count()
+    same = [F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")) for key in ("visitorid", "itemid")]
+    by_join = pairs[ADD].distinct().alias("a").join(pairs[BUY].alias("b"), same, "left_anti").count()
+    window = collected(ops.sliding_windows(events(*rows, (0, 9, "view", 9), (size - 1, 9, "view", 9)), 30))
+    assert window[0][4] == by_set == by_join > 0
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "13"])
+def test_the_number_of_partitions_does_not_matter(spark, events, partitions):
+    rows = random_events(41, 300, 30, 4, 40)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        assert collected(ops.sliding_windows(events(*rows), 5)) == brute_force(rows, 5)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
