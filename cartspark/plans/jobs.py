@@ -39,6 +39,13 @@ SUMMARY_SCHEMA = (
     "abandoned_visitor_item_pairs BIGINT, overall_cart_abandonment_rate DOUBLE"
 )
 TOP_SCHEMA = "itemid BIGINT, abandoned_count BIGINT"
+HOURLY_EVENTS_SCHEMA = (
+    "hour TIMESTAMP, view_count BIGINT, addtocart_count BIGINT, transaction_count BIGINT, "
+    "total_event_count BIGINT"
+)
+HOURLY_ABANDONMENT_SCHEMA = (
+    "hour TIMESTAMP, addtocart_pair_count BIGINT, abandoned_pair_count BIGINT, abandonment_rate DOUBLE"
+)
 WINDOW_SCHEMA = (
     "window_start TIMESTAMP, window_end TIMESTAMP, event_count BIGINT, addtocart_count BIGINT, "
     "transaction_count BIGINT, estimated_abandoned_count BIGINT, estimated_abandonment_rate DOUBLE, "
@@ -81,12 +88,13 @@ def batch_report(
     write_result(
         ops.hourly_abandonment_trend(pairs).orderBy("hour"), output, HOURLY_ABANDONMENT, fmt
     )
-    return {
-        SUMMARY: read_result(spark, output, SUMMARY, fmt, SUMMARY_SCHEMA),
-        TOP_PRODUCTS: read_result(spark, output, TOP_PRODUCTS, fmt, TOP_SCHEMA),
-        HOURLY_EVENTS: read_result(spark, output, HOURLY_EVENTS, fmt),
-        HOURLY_ABANDONMENT: read_result(spark, output, HOURLY_ABANDONMENT, fmt),
+    schemas = {
+        SUMMARY: SUMMARY_SCHEMA,
+        TOP_PRODUCTS: TOP_SCHEMA,
+        HOURLY_EVENTS: HOURLY_EVENTS_SCHEMA,
+        HOURLY_ABANDONMENT: HOURLY_ABANDONMENT_SCHEMA,
     }
+    return {name: read_result(spark, output, name, fmt, schema) for name, schema in schemas.items()}
 
 
 def speed_report(

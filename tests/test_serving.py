@@ -70,6 +70,12 @@ def test_jobs_end_to_end(spark, folder, fmt):
     assert tables["batch_summary"].first()["overall_cart_abandonment_rate"] == 93.5644
     best = [row["itemid"] for row in tables["top_abandoned_products"].collect()]
     assert best[:3] == [26, 63, 67]
+    hourly = tables["hourly_event_trend"]
+    assert hourly.exceptAll(ops.hourly_event_trend(events)).isEmpty()
+    assert hourly.count() == 531
+    trend = tables["hourly_abandonment_trend"]
+    assert trend.exceptAll(ops.hourly_abandonment_trend(ops.pair_state(events))).isEmpty()
+    assert trend.count() == 174
     windows = plans.speed_report(spark, events, folder, fmt)
     assert windows.count() == 4681
     view, alert = plans.serving_report(spark, folder, fmt)
