@@ -138,9 +138,9 @@ def _items_per_window(runs: DataFrame) -> DataFrame:
         .agg(F.sum("pair_step").alias("pair_step"), F.sum("open_step").alias("open_step"))
         .filter("pair_step != 0 OR open_step != 0")
         .withColumn("bucket", _bucket(buckets))
-        # Running totals and the ranking in buckets both work on this one shuffle. It goes by the hash of the
-        # bucket, not by its number, so that AQE can still merge small partitions.
-        .repartition("bucket")
+        # One bucket per partition: running totals and the ranking in buckets both work on this one shuffle.
+        # The rows grow by the runs' length after it, so AQE must not merge partitions by their size before.
+        .repartitionById(buckets, "bucket")
     )
     in_time = "OVER (PARTITION BY bucket, itemid ORDER BY at"
     so_far = f"{in_time} ROWS UNBOUNDED PRECEDING)"
