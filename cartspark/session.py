@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,15 +29,12 @@ def build_session(
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which every executor can reach.
+def scratch_path(spark: SparkSession, purpose: str, base: str | None = None) -> str:
+    """A new folder that every executor can reach, for an intermediate table.
 
-    A local session without the setting gets a temporary folder; on a cluster the setting is required, because
-    tables kept on one machine are lost with it.
+    It lies below ``base`` if the caller names one, else below ``spark.checkpoint.dir``, else below the warehouse.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = base or spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="cartspark-")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{shared.rstrip('/')}/cartspark/{purpose}-{uuid.uuid4().hex}"
