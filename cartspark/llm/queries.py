@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from cartspark.llm.chat_format import format_conversations, read_back
 from cartspark.llm.decontamination import find_benchmark
+from cartspark.llm.embedding_dedup import link_embeddings
 from cartspark.llm.html_extraction import extract_text
 from cartspark.llm.language_id import held_out, identify_languages
+from cartspark.llm.minhash_dedup import near_duplicates
 from cartspark.llm.mixing import mix_sources
+from cartspark.llm.suffix_dedup import remove_repeats
 from cartspark.llm.token_counts import count_tokens
 from cartspark.llm.url_filter import filter_urls
 
@@ -32,11 +35,25 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return link_embeddings(table(spark, folder, "embeddings"))
+
+
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix_sources(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Each document's tokens; then after two edits: its middle character doubled, and its first tenth cut out."""
     edits = F.array(
@@ -81,7 +98,10 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_mixing": op4_mixing,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_html_extraction": op7_html_extraction,
     "op8_url_filter": op8_url_filter,
