@@ -86,7 +86,7 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
     )
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    return read_back(format_conversations(rows.unionByName(example)))
+    return read_back(format_conversations(rows.unionByName(example))).drop("n_tokens")
 
 
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,0 +1,35 @@
+import random
+
+import pytest
+
+from cartspark.llm.components import connected_components
+
+
+def plain(edges):
+    label = {}
+    for a, b in edges:
+        label.setdefault(a, a)
+        label.setdefault(b, b)
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    return {n: c for n, c in label.items() if n != c}
+
+
+@pytest.mark.parametrize(
+    "edges",
+    [
+        [], [(3, 3)], [(1, 2), (2, 1), (1, 2)], [(i, i + 1) for i in range(60)], [(500, i) for i in range(100)],
+        [((i * 37) % 101, (i * 53) % 101) for i in range(60)],
+    ],
+)
+def test_components(spark, edges):
+    frame = spark.createDataFrame([*edges, (None, 4), (4, None)], "a long, b long")
+    assert {r.node: r.component for r in connected_components(frame).collect()} == plain(edges)
+
+
+def test_random_graphs(spark):
+    rng = random.Random(1)
+    edges = [(rng.randrange(-50, 150), rng.randrange(-50, 150)) for _ in range(120)]
+    got = connected_components(spark.createDataFrame(edges, "x long, y long")).collect()
+    assert {r.node: r.component for r in got} == plain([e for e in edges if e[0] != e[1]])

@@ -1,0 +1,124 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from cartspark.llm.common import text_chunks, words_of
+from cartspark.llm.minhash_dedup import aligned_similarity, item_hashes, near_duplicates, sketches_of
+from tests.llm.brute import words
+
+DOCS = "doc_id long, text string"
+
+
+def prose(rng, n):
+    return ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(n)]
+
+
+def classes(spark, documents):
+    return {r.doc_id: (r.class_id, r.kept) for r in near_duplicates(spark.createDataFrame(documents, DOCS)).collect()}
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
+        row = new
+    return row[-1]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_alignment_is_the_longest_common_sequence(seed):
+    rng = random.Random(seed)
+    a = list(range(60))
+    b = [x for x in a if rng.random() > 0.08]
+    for _ in range(seed):
+        i, j = rng.randrange(len(b)), rng.randrange(len(b))
+        b.insert(j, b.pop(i))
+    common = longest_common(a, b)
+    want = common / (len(a) + len(b) - common)
+    got = aligned_similarity(np.array(a, np.uint32), np.array(b, np.uint32), 0.8)
+    assert got == pytest.approx(want) if want >= 0.8 else got < 0.8
+
+
+def test_items_are_distinct_and_ordered():
+    (chunk,) = text_chunks(pa.array(["a b c d e a b c d e a b c d e", "a b c d e", "x y", "", None]))
+    items, offsets = item_hashes(words_of(chunk), 5)
+    assert np.diff(offsets).tolist() == [11, 1, 1, 0, 0]
+    assert len(set(items[:11].tolist())) == 11 and items[0] == items[11]
+    keys = sketches_of(items, offsets, 4, 3)
+    assert keys.shape == (3, 4)
+
+
+def test_copies_near_copies_and_clean_documents(spark):
+    rng = random.Random(5)
+    documents, n = [], 0
+    for base in range(40):
+        text = prose(rng, 200)
+        for copy in range(3):
+            near = list(text)
+            for _ in range(copy):
+                near[rng.randrange(len(near))] = "changed"
+            documents.append((n, " ".join(near)))
+            n += 1
+        documents.append((n, " ".join(prose(rng, 120) + text[:80])))
+        n += 1
+    got = classes(spark, documents)
+    for i in range(n):
+        first = i - i % 4
+        assert got[i] == ((i, True) if i % 4 == 3 else (first, i == first))
+
+
+def test_moved_blocks_are_not_near(spark):
+    rng = random.Random(6)
+    text = prose(rng, 300)
+    moved = text[150:] + text[:150]
+    assert classes(spark, [(1, " ".join(text)), (2, " ".join(moved))]) == {1: (1, True), 2: (2, True)}
+
+
+def test_large_group_of_near_copies(spark):
+    rng = random.Random(7)
+    text = prose(rng, 150)
+    documents = []
+    for i in range(300):
+        near = list(text)
+        near[rng.randrange(150)] = f"w{i}"
+        documents.append((1000 - i, " ".join(near)))
+    assert {c for c, _ in classes(spark, documents).values()} == {701}
+
+
+def test_defined_results_for_odd_rows(spark):
+    documents = [(1, None), (2, ""), (3, "..."), (4, "Short Text"), (5, "short, text!"), (6, "short"), (None, "short text"), (7, None)]
+    got = classes(spark, documents)
+    assert got == {1: (1, True), 2: (2, True), 3: (3, True), 4: (4, True), 5: (4, False), 6: (6, True), None: (None, True), 7: (7, True)}
+    assert near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
+    repeated = near_duplicates(spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "a b")], DOCS)).collect()
+    assert sorted(tuple(r) for r in repeated) == [(1, 1, True), (1, 1, True), (2, 1, False)]
+    clash = spark.createDataFrame([(1, "a b c", "x", 3)], DOCS + ", keys string, class_id int")
+    assert [tuple(r) for r in near_duplicates(clash).collect()] == [(1, 1, True)]
+
+
+def test_given_documents_against_all_pairs(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    shingles = {}
+    for i, text in rows:
+        w, seen = words(text), {}
+        own = []
+        for s in range(max(len(w) - 5, 0) + 1):
+            gram = tuple(w[s : s + 5])
+            seen[gram] = seen.get(gram, 0) + 1
+            own.append((gram, seen[gram]))
+        shingles[i] = set(own)
+    label = {i: i for i in shingles}
+    ids = sorted(shingles)
+    links = [
+        (a, b) for a in ids for b in ids
+        if a < b and len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])
+    ]
+    for _ in ids:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    got = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == label
