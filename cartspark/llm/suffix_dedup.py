@@ -8,10 +8,13 @@ with one anchor form a run, and a run is known by its anchor's hash and the hash
    deals the rest to buckets of hash ranges.
 2. A bucket takes its documents in order, in batches. A batch is sorted, its runs are looked up in the sorted levels of all
    earlier batches, and it becomes a level; two levels of equal rank merge into one of the next. A run with an earlier
-   equal is removed as a whole. Runs that share an anchor but not all bytes may still share some windows.
-3. These few are compared window by window, at the documents and then in buckets of window hashes.
+   equal is removed as a whole. Runs that share an anchor but not all bytes may still share some windows: they are
+   contested.
+3. Contested runs are compared window by window: those of an anchor in one bucket, or, if an anchor has very many, each
+   window by its own hash, after what repeats within a shard of documents is settled there.
+4. Documents meet what was found of them and are cut.
 
-Hashes have 64 bits and more; a text is only moved to be cut.
+Text is moved twice, packed by shard and compressed. Hashes have 64 bits and more.
 """
 
 from __future__ import annotations
@@ -23,31 +26,35 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartspark.llm.common import CHUNK_BYTES, mix, powers, stored, text_chunks
+from cartspark.llm.common import mix, powers, split_batches, stored, text_chunks
 
 WIDTH = 50
 ANCHOR = 20
 # Text whose runs are packed together, and text for each bucket of runs and each shard of documents.
-PACK_BYTES = 8 << 20
-BUCKET_BYTES = 24 << 20
-SHARD_BYTES = 12 << 20
+PACK_BYTES = 12 << 20
+BUCKET_BYTES = 12 << 20
+SHARD_BYTES = 6 << 20
 # Batches of documents that a bucket indexes one after the other.
 BATCHES = 8
 NO_ID = np.iinfo(np.int64).max
 
-COVERED, CONTESTED = 1, 2
+# Runs of one anchor that are compared together; beyond, they are compared by window.
+TOGETHER = 64
+
+COVERED, CONTESTED, WIDELY_CONTESTED = 1, 2, 3
 
 _PLACE_BITS = 24
 _PIECE = 1 << 22
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _inverse_powers = np.ones(1, dtype=np.uint64)
 
-_BLOB = ["docs", "marks", "firsts", "at_low", "at_high", "code", "gram", "run_high", "run_low"]
+# What packed rows may hold: runs have all but code, flags docs to code, windows docs, marks, at, start and hash.
+_BLOB = ["docs", "marks", "firsts", "at", "code", "gram", "run_high", "run_low", "start", "hash", "data"]
 _SCHEMA = "_key int, " + ", ".join(f"{c} binary" for c in _BLOB)
-_WINDOW = ["w_docs", "w_marks", "w_index", "w_start", "w_hash"]
 
 
 def inverse_powers(n: int) -> np.ndarray:
@@ -95,7 +102,7 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 def runs_of(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) -> Runs:
     """The runs of all windows that lie within one text; texts shorter than a window have none."""
-    if len(data) > _PIECE and len(offsets) == 2:
+    if len(data) >= _PIECE + width and len(offsets) == 2:
         parts = []
         for at in range(0, len(data) - width + 1, _PIECE):
             piece = data[at : at + _PIECE + width - 1]
@@ -128,7 +135,8 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) -> R
     text = np.searchsorted(offsets, first, "right") - 1
     run = hashes.of(first, last + width)
     base = offsets[text]
-    return Runs(text, first - base, last - base, grams[place[first]], run)
+    # Anchors have small hashes; hashed anew, they spread over all buckets.
+    return Runs(text, first - base, last - base, mix(~grams[place[first]]), run)
 
 
 def earlier_equal(doc: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,28 +203,52 @@ class IndexFamily:
             self.levels.append(self.levels.pop().merged(newer))
         return ref[known]
 
-    def contested(self) -> np.ndarray:
-        """Refs of runs whose anchor also stands in another document, in another run."""
+    def contested(self, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Refs of runs whose anchor also stands in another document, in another run; and whether it has very many.
+
+        ``marked`` are anchors that have very many runs elsewhere.
+        """
         whole = self.levels[0]
         for level in self.levels[1:]:
             whole = whole.merged(level)
         gram = whole.key >> np.uint64(32)
         if not len(gram):
-            return whole.ref
-        new = np.ones(len(gram), dtype=bool)
-        new[1:] = gram[1:] != gram[:-1]
-        heads = np.flatnonzero(new)
+            return whole.ref, np.zeros(0, bool)
+        heads = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
         sizes = np.diff(np.append(heads, len(gram)))
-        several = np.minimum.reduceat(whole.doc, heads) < np.maximum.reduceat(whole.doc, heads)
-        return whole.ref[np.repeat(several, sizes)]
+        wide = np.isin(gram[heads], marked) | (sizes > TOGETHER)
+        several = wide | (np.minimum.reduceat(whole.doc, heads) < np.maximum.reduceat(whole.doc, heads))
+        several, wide = np.repeat(several, sizes), np.repeat(wide, sizes)
+        return whole.ref[several], wide[several]
+
+
+def raw(values: np.ndarray, kind: str, rising: bool = False) -> bytes:
+    """Numbers as compressed bytes: differences if they rise, then first bytes, second bytes and so on."""
+    values = np.ascontiguousarray(values, dtype=kind)
+    if rising and len(values):
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return len(planes).to_bytes(4, "little") + pa.compress(planes, "zstd", asbytes=True)
 
 
-def raw(values: np.ndarray, kind) -> bytes:
-    return np.ascontiguousarray(values, dtype=kind).tobytes()
+def unpacked(data, kind: str, rising: bool = False) -> np.ndarray:
+    data = memoryview(data)
+    planes = pa.decompress(data[4:], int.from_bytes(data[:4], "little"), "zstd", asbytes=True)
+    size = np.dtype(kind).itemsize
+    values = np.frombuffer(planes, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
+    return np.cumsum(values, dtype=values.dtype) if rising else values
 
 
-def unpacked(data, kind) -> np.ndarray:
-    return np.frombuffer(data, dtype=kind)
+def pack_rows(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def unpack_rows(data: pa.ChunkedArray) -> pa.Table | None:
+    tables = [pa.ipc.open_stream(x.as_buffer()).read_all() for x in data]
+    return pa.concat_tables(tables).combine_chunks() if tables else None
 
 
 def shard_of(doc: np.ndarray, shards: int) -> np.ndarray:
@@ -229,32 +261,48 @@ def shard_column(doc: Column, shards: int) -> Column:
     return F.pmod(mixed, F.lit(shards)).cast("int")
 
 
-def flag_rows(first_key: int, shards: int, doc, mark, text, ordinal, code) -> Iterator[dict]:
-    """One row a shard: which runs (by number in their text) are covered or contested."""
-    if not len(text):
-        return
+def split(keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of equal neighbours."""
+    if len(keys):
+        heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        yield from zip(heads.tolist(), [*heads[1:].tolist(), len(keys)], strict=True)
+
+
+def flag_rows(first_key: int, shards: int, doc, mark, text, number, code) -> Iterator[dict]:
+    """One row a shard: which numbers (of runs, or of bytes) of which of its documents have which code."""
     shard = shard_of(doc, shards)[text]
-    order = np.lexsort((ordinal, text, shard))
-    text, ordinal, code, shard = text[order], ordinal[order], code[order], shard[order]
-    heads = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
-    for a, b in zip(heads, np.append(heads[1:], len(shard)), strict=True):
+    order = np.lexsort((number, text, shard))
+    text, number, code, shard = text[order], number[order], code[order], shard[order]
+    for a, b in split(shard):
         used, index = np.unique(text[a:b], return_inverse=True)
         yield {
             "_key": first_key + int(shard[a]),
             "docs": raw(doc[used], "i8"),
             "marks": raw(mark[used], "u4"),
-            "firsts": raw(ordinal[a:b], "u4"),
-            "at_low": raw(index, "u4"),
+            "at": raw(index, "u4", True),
+            "firsts": raw(number[a:b], "u4"),
             "code": raw(code[a:b], "u1"),
         }
 
 
-def table_of(rows: list[dict], schema: pa.Schema) -> pa.Table:
+def arrow_schema() -> pa.Schema:
+    return pa.schema([pa.field("_key", pa.int32()), *(pa.field(c, pa.binary()) for c in _BLOB)])
+
+
+def table_of(rows: list[dict]) -> pa.Table:
+    schema = arrow_schema()
     return pa.Table.from_pydict({f.name: [row.get(f.name) for row in rows] for f in schema}, schema=schema)
 
 
-def arrow_schema(extra: list[pa.Field] = ()) -> pa.Schema:
-    return pa.schema([pa.field("_key", pa.int32()), *(pa.field(c, pa.binary()) for c in _BLOB), *extra])
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Ranges of equal width."""
+    return (((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def within_bucket(hashes: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
+    """32 bits that tell the hashes of a bucket apart, in their order."""
+    low = np.uint64((-(-(bucket << 32) // buckets)) << 32)
+    return (hashes - low) >> np.uint64(32 - (buckets.bit_length() - 1))
 
 
 class Packer:
@@ -267,13 +315,13 @@ class Packer:
     def clear(self):
         self.docs, self.marks, self.counts, self.grams, self.runs, self.bytes = [], [], [], [], [], 0
 
-    def add(self, data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, runs: Runs):
+    def add(self, size: int, docs: np.ndarray, marks: np.ndarray, runs: Runs):
         self.docs.append(docs)
-        self.marks.append(np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.int64))
+        self.marks.append(marks)
         self.counts.append(np.bincount(runs.text, minlength=len(docs)))
         self.grams.append(runs.gram)
         self.runs.append(runs.run)
-        self.bytes += len(data)
+        self.bytes += size
 
     def rows(self) -> Iterator[dict]:
         if not self.docs:
@@ -281,32 +329,38 @@ class Packer:
         doc, mark, counts = np.concatenate(self.docs), np.concatenate(self.marks), np.concatenate(self.counts)
         gram, run = np.concatenate(self.grams), np.concatenate(self.runs)
         self.clear()
+        # Documents in order.
+        by_doc = np.argsort(doc, kind="stable")
+        old_first = (np.cumsum(counts) - counts)[by_doc]
+        doc, mark, counts = doc[by_doc], mark[by_doc], counts[by_doc]
         first = np.cumsum(counts) - counts
-        text = np.repeat(np.arange(len(doc)), counts)
+        text = np.repeat(np.arange(len(doc), dtype=np.int32), counts)
+        number = np.arange(len(text)) - first[text]
+        moved = old_first[text] + number
+        gram, run = gram[moved], run[moved]
         order, repeated = earlier_equal(doc[text], run, gram)
         here = order[repeated]
-        yield from flag_rows(
-            self.buckets, self.shards, doc, mark, text[here], here - first[text[here]], np.full(len(here), COVERED)
-        )
-        # Documents in order, so that their table packs well.
-        by_doc = np.argsort(doc, kind="stable")
-        place = np.empty(len(doc), np.int64)
-        place[by_doc] = np.arange(len(doc))
-        new_first = np.cumsum(counts[by_doc]) - counts[by_doc]
+        yield from flag_rows(self.buckets, self.shards, doc, mark, text[here], number[here], np.full(len(here), COVERED))
         left = order[~repeated]
-        at = new_first[place[text[left]]] + left - first[text[left]]
         gram, run = gram[left], run[left]
-        bucket = ((gram >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
-        heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
-        for a, b in zip(heads, np.append(heads[1:], len(bucket)), strict=True):
-            yield {
+        # Of an anchor with very many runs only one is sent, marked; the others need no bucket to be contested.
+        sizes = np.diff([a for a, _ in split(gram)] + [len(gram)])
+        wide = np.repeat(sizes > TOGETHER, sizes)
+        here = left[wide]
+        yield from flag_rows(
+            self.buckets, self.shards, doc, mark, text[here], number[here], np.full(len(here), WIDELY_CONTESTED)
+        )
+        head = np.append(True, gram[1:] != gram[:-1])[: len(gram)]
+        sent = ~wide | head
+        at = left[sent].astype(np.uint32) | (wide[sent].astype(np.uint32) << np.uint32(31))
+        gram, run = gram[sent], run[sent]
+        tables = {"docs": raw(doc, "i8", True), "marks": raw(mark, "u4"), "firsts": raw(first, "u4", True)}
+        bucket = bucket_of(gram, self.buckets)
+        for a, b in split(bucket):
+            yield tables | {
                 "_key": int(bucket[a]),
-                "docs": raw(doc[by_doc], "i8"),
-                "marks": raw(mark[by_doc], "u4"),
-                "firsts": raw(new_first, "u4"),
-                "at_low": raw(at[a:b] & 0xFFFF, "u2"),
-                "at_high": raw(at[a:b] >> 16, "u2"),
-                "gram": raw(gram[a:b] & np.uint64(0xFFFFFFFF), "u4"),
+                "at": raw(at[a:b], "u4"),
+                "gram": raw(within_bucket(gram[a:b], int(bucket[a]), self.buckets), "u4", True),
                 "run_high": raw(run[a:b] >> np.uint64(32), "u4"),
                 "run_low": raw(run[a:b] & np.uint64(0xFFFF), "u2"),
             }
@@ -316,35 +370,35 @@ def settle_bucket(table: pa.Table, first_key: int, shards: int) -> pa.Table:
     """Decide the runs of one bucket; rows that only carry flags pass unchanged."""
     if not table.num_rows or table.column("_key")[0].as_py() >= first_key:
         return table
-    docs, marks, texts, ordinals, keys, lows, base = [], [], [], [], [], [], 0
-    for row in table.to_pylist():
-        firsts = unpacked(row["firsts"], "u4").astype(np.int64)
-        at = unpacked(row["at_low"], "u2").astype(np.int64) | (unpacked(row["at_high"], "u2").astype(np.int64) << 16)
-        text = np.searchsorted(firsts, at, "right") - 1
-        docs.append(unpacked(row["docs"], "i8"))
-        marks.append(unpacked(row["marks"], "u4").astype(np.int64))
-        texts.append(text + base)
-        ordinals.append(at - firsts[text])
-        high = unpacked(row["run_high"], "u4").astype(np.uint64)
-        keys.append((unpacked(row["gram"], "u4").astype(np.uint64) << np.uint64(32)) | high)
-        lows.append(unpacked(row["run_low"], "u2"))
+    docs, marks, texts, numbers, keys, lows, wide, base = [], [], [], [], [], [], [], 0
+    for i in range(table.num_rows):
+        part = lambda name, kind, rising=False, i=i: unpacked(table.column(name)[i].as_buffer(), kind, rising)
+        firsts, at = part("firsts", "u4", True), part("at", "u4")
+        wide.append(at >> np.uint32(31) > 0)
+        at &= np.uint32((1 << 31) - 1)
+        text = (np.searchsorted(firsts, at, "right") - 1).astype(np.int32)
+        docs.append(part("docs", "i8", True))
+        marks.append(part("marks", "u4"))
+        texts.append(text + np.int32(base))
+        numbers.append(at - firsts[text])
+        keys.append((part("gram", "u4", True).astype(np.uint64) << np.uint64(32)) | part("run_high", "u4"))
+        lows.append(part("run_low", "u2"))
         base += len(firsts)
-    doc, mark, text = np.concatenate(docs), np.concatenate(marks), np.concatenate(texts)
-    ordinal, key, low = np.concatenate(ordinals), np.concatenate(keys), np.concatenate(lows)
+    doc, mark, text, number, key, low, wide = map(np.concatenate, (docs, marks, texts, numbers, keys, lows, wide))
+    del docs, marks, texts, numbers, keys, lows
     of = doc[text]
     by_doc = np.argsort(of, kind="stable")
-    sorted_doc = of[by_doc]
-    cuts = np.linspace(0, len(of), BATCHES + 1).astype(np.int64)[1:-1]
     # A document's runs are in one batch.
-    cuts = np.searchsorted(sorted_doc, sorted_doc[cuts], "left") if len(of) else cuts
+    ordered = of[by_doc]
+    cuts = np.searchsorted(ordered, ordered[len(of) * np.arange(1, BATCHES) // BATCHES], "left")
     family, covered = IndexFamily(), []
-    for part in np.split(by_doc, np.unique(cuts)):
-        covered.append(family.add(key[part], low[part], of[part], part))
-    covered, contested = np.concatenate(covered), family.contested()
+    for batch in np.split(by_doc, np.unique(cuts)):
+        covered.append(family.add(key[batch], low[batch], of[batch], batch))
+    covered = np.concatenate(covered)
+    contested, widely = family.contested(np.unique(key[wide] >> np.uint64(32)))
     here = np.concatenate((covered, contested))
-    code = np.repeat([COVERED, CONTESTED], [len(covered), len(contested)])
-    rows = list(flag_rows(first_key, shards, doc, mark, text[here], ordinal[here], code))
-    return table_of(rows, arrow_schema())
+    code = np.concatenate((np.full(len(covered), COVERED), np.where(widely, WIDELY_CONTESTED, CONTESTED)))
+    return table_of(list(flag_rows(first_key, shards, doc, mark, text[here], number[here], code)))
 
 
 def merge_spans(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -378,6 +432,7 @@ def result_of(data: bytes, first: np.ndarray, last: np.ndarray, texts: bool) ->
         "spans": [{"first": a, "last": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)],
         "kept_sha256": hashlib.sha256(kept).hexdigest(),
         "kept": kept if texts else None,
+        "kept_text": kept.decode(errors="ignore") if texts else None,
     }
 
 
@@ -388,25 +443,120 @@ RESULT_FIELDS = [
     pa.field("spans", SPANS),
     pa.field("kept_sha256", pa.string()),
     pa.field("kept", pa.binary()),
+    pa.field("kept_text", pa.string()),
 ]
 RESULT_SQL = (
     "n_bytes long, n_removed long, n_spans long, spans array<struct<first:long,last:long>>, "
-    "kept_sha256 string, kept binary"
+    "kept_sha256 string, kept binary, kept_text string"
 )
 
 
 def flags_of(table: pa.Table) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
-    """Numbers and codes of flagged runs, by document and its text's checksum."""
+    """Flagged numbers and their codes, by document and its mark."""
     found: dict = {}
-    for row in table.select(["docs", "marks", "firsts", "at_low", "code"]).to_pylist():
-        docs, marks = unpacked(row["docs"], "i8").tolist(), unpacked(row["marks"], "u4").tolist()
-        index, ordinal = unpacked(row["at_low"], "u4"), unpacked(row["firsts"], "u4")
-        code = unpacked(row["code"], "u1")
-        heads = np.searchsorted(index, np.arange(len(docs) + 1))
-        for i, key in enumerate(zip(docs, marks, strict=True)):
-            part = slice(heads[i], heads[i + 1])
-            found.setdefault(key, []).append((ordinal[part], code[part]))
-    return {k: tuple(np.concatenate([p[i] for p in parts]) for i in (0, 1)) for k, parts in found.items()}
+    for i in range(table.num_rows):
+        part = lambda name, kind, rising=False, i=i: unpacked(table.column(name)[i].as_buffer(), kind, rising)
+        index, number, code = part("at", "u4", True), part("firsts", "u4"), part("code", "u1")
+        for (a, b), key in zip(split(index), zip(part("docs", "i8").tolist(), part("marks", "u4").tolist()), strict=True):
+            found.setdefault(key, []).append((number[a:b], code[a:b]))
+    return {k: tuple(np.concatenate([p[j] for p in parts]) for j in (0, 1)) for k, parts in found.items()}
+
+
+def steps(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each count."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def settle_windows(table: pa.Table, shards: int, width: int) -> pa.Table:
+    """Which windows of a bucket also begin in an earlier document, by shard.
+
+    A row has windows by hash, or runs of windows as bytes.
+    """
+    docs, marks, texts, starts, hashes, base = [], [], [], [], [], 0
+    for i in range(table.num_rows):
+        part = lambda name, kind, rising=False, i=i: unpacked(table.column(name)[i].as_buffer(), kind, rising)
+        text, start = part("at", "u4").astype(np.int32), part("start", "u4")
+        if table.column("hash")[i].is_valid:
+            value = part("hash", "u8")
+        else:
+            lengths = part("firsts", "u4").astype(np.int64)
+            ends = np.cumsum(lengths)
+            counts = lengths - width + 1
+            step = steps(counts)
+            at = np.repeat(ends - lengths, counts) + step
+            value = Hashes(part("data", "u1")).of(at, at + width)
+            text, start = np.repeat(text, counts), (np.repeat(start, counts) + step).astype(np.uint32)
+        docs.append(part("docs", "i8"))
+        marks.append(part("marks", "u4"))
+        texts.append(text + np.int32(base))
+        starts.append(start)
+        hashes.append(value)
+        base += len(docs[-1])
+    if not docs:
+        return table_of([])
+    doc, mark, text, start, value = map(np.concatenate, (docs, marks, texts, starts, hashes))
+    order, repeated = earlier_equal(doc[text], value)
+    here = order[repeated]
+    return table_of(list(flag_rows(0, shards, doc, mark, text[here], start[here], np.full(len(here), COVERED))))
+
+
+class Contested:
+    """Contested runs of a shard on their way to be compared."""
+
+    def __init__(self, buckets: int, shards: int, width: int):
+        self.buckets, self.shards, self.width = buckets, shards, width
+        self.docs, self.marks, self.few, self.many = [], [], [], []
+
+    def add(self, doc: int, mark: int, data: np.ndarray, base: int, hashes: Hashes, runs: Runs, few, many):
+        me = len(self.docs)
+        self.docs.append(doc)
+        self.marks.append(mark)
+        for i in few:
+            first, last = int(runs.first[i]), int(runs.last[i]) + self.width
+            self.few.append((int(runs.gram[i]), me, first, data[base + first : base + last].tobytes()))
+        if len(many):
+            counts = runs.last[many] - runs.first[many] + 1
+            start = np.repeat(runs.first[many], counts) + steps(counts)
+            value = hashes.of(start + base, start + base + self.width)
+            self.many.append((np.full(len(start), me), start, value))
+
+    def rows(self) -> Iterator[dict]:
+        """To buckets of anchors, to buckets of windows behind them, and flags of what is settled here behind those."""
+        doc, mark = np.array(self.docs, np.int64), np.array(self.marks, np.uint32)
+        self.few.sort()
+        bucket = bucket_of(np.array([f[0] for f in self.few], np.uint64), self.buckets)
+        for a, b in split(bucket):
+            _, index, start, data = zip(*self.few[a:b], strict=True)
+            used, at = np.unique(np.array(index), return_inverse=True)
+            yield {
+                "_key": int(bucket[a]),
+                "docs": raw(doc[used], "i8"),
+                "marks": raw(mark[used], "u4"),
+                "at": raw(at, "u4"),
+                "start": raw(np.array(start), "u4"),
+                "firsts": raw(np.array([len(x) for x in data]), "u4"),
+                "data": raw(np.frombuffer(b"".join(data), np.uint8), "u1"),
+            }
+        if not self.many:
+            return
+        index, start, value = map(np.concatenate, zip(*self.many, strict=True))
+        order, repeated = earlier_equal(doc[index], value)
+        here = order[repeated]
+        yield from flag_rows(
+            2 * self.buckets, self.shards, doc, mark, index[here], start[here], np.full(len(here), COVERED)
+        )
+        left = order[~repeated]
+        bucket = bucket_of(value[left], self.buckets)
+        for a, b in split(bucket):
+            used, at = np.unique(index[left[a:b]], return_inverse=True)
+            yield {
+                "_key": self.buckets + int(bucket[a]),
+                "docs": raw(doc[used], "i8"),
+                "marks": raw(mark[used], "u4"),
+                "at": raw(at, "u4"),
+                "start": raw(start[left[a:b]], "u4"),
+                "hash": raw(value[left[a:b]], "u8"),
+            }
 
 
 def remove_repeats(
@@ -420,167 +570,133 @@ def remove_repeats(
 
     Removed is every byte of a string of ``width`` bytes that also begins somewhere in a document with a smaller id.
     Returns doc_id, the ``carry`` columns, n_bytes, n_removed, n_spans, spans ([first, last) in bytes), kept_sha256 and,
-    with ``texts``, the kept bytes. A null text is empty. A null id is the largest of all. Rows with one id do not
-    remove anything from each other. A carried column with the name of a result is left out.
+    with ``texts``, kept (bytes) and kept_text (without the rest of characters that were cut in two). A null text is
+    empty. A null id is the largest of all. Rows with one id do not remove anything from each other. A carried column with
+    the name of a result is left out.
     """
-    sizes = documents.agg(F.sum(F.octet_length("text")).alias("n")).first()
-    total = int(sizes["n"] or 0)
-    buckets, shards = total // BUCKET_BYTES + 1, total // SHARD_BYTES * 2 + 1
+    total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets, shards = int(total) // BUCKET_BYTES + 1, int(total) // SHARD_BYTES + 1
+    # Only where ids repeat is a document told by a mark of its text as well.
+    by_text = not documents.groupBy("doc_id").count().where("count > 1").isEmpty()
     results = [f.name for f in RESULT_FIELDS]
     carry = tuple(c for c in carry if c not in (*results, "doc_id"))
     extra = [f"_c{i}" for i in range(len(carry))]
     rows = documents.select(
-        "doc_id",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("_doc"),
         F.col("text").alias("_text"),
+        "doc_id",
         *(F.col(c).alias(e) for c, e in zip(carry, extra, strict=True)),
     )
 
+    def marks_of(chunk) -> np.ndarray:
+        bounds = zip(chunk.offsets[:-1], chunk.offsets[1:], strict=True)
+        return np.array([zlib.crc32(chunk.data[a:b]) if by_text else 0 for a, b in bounds], np.uint32)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, schema = Packer(buckets, shards), arrow_schema()
+        packer = Packer(buckets, shards)
         for batch in batches:
             docs = batch.column("_doc").to_numpy()
             for chunk in text_chunks(batch.column("_text")):
                 runs = runs_of(chunk.data, chunk.offsets, width, anchor)
-                packer.add(chunk.data, chunk.offsets, docs[chunk.first : chunk.first + len(chunk)], runs)
+                packer.add(len(chunk.data), docs[chunk.first : chunk.first + len(chunk)], marks_of(chunk), runs)
                 if packer.bytes >= PACK_BYTES:
-                    yield from table_of(list(packer.rows()), schema).to_batches()
-        yield from table_of(list(packer.rows()), schema).to_batches()
-
-    packed = rows.select("_doc", "_text").mapInArrow(pack, _SCHEMA)
-    flags = packed.groupBy("_key").applyInArrow(lambda t: settle_bucket(t, buckets, shards), _SCHEMA)
-    flags = flags.withColumn("_shard", F.col("_key") - buckets).select("_shard", *_BLOB[:6])
-
-    id_type = documents.schema["doc_id"].dataType.simpleString()
-    row_types = [f"doc_id {id_type}", *(
-        f"{e} {documents.schema[c].dataType.simpleString()}" for c, e in zip(carry, extra, strict=True)
-    )]
-    out_sql = ", ".join(
-        ["_kind string", "_shard int", "_key int", *row_types, "_doc long", "_text string", RESULT_SQL]
-        + [f"{c} binary" for c in _WINDOW]
-    )
-
-    def compare(docs: pa.Table, flagged: pa.Table) -> pa.Table:
-        """Cut the documents of a shard that are decided; send the windows of contested runs of the others on."""
-        found = flags_of(flagged)
-        wanted, kinds, cuts, waiting = [], [], [], []
+                    yield from table_of(list(packer.rows())).to_batches()
+        yield from table_of(list(packer.rows())).to_batches()
+
+    def to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in split_batches(batches, "_text", PACK_BYTES):
+            held.append(batch)
+            size += batch.nbytes
+            if size >= PACK_BYTES:
+                yield from packed_shards(held)
+                held, size = [], 0
+        if held:
+            yield from packed_shards(held)
+
+    def packed_shards(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        shard = shard_of(table.column("_doc").to_numpy(), shards)
+        order = np.argsort(shard, kind="stable")
+        for a, b in split(shard[order]):
+            blob = pack_rows(table.take(pa.array(order[a:b])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(shard[order[a]])], pa.int32()), pa.array([blob], pa.binary())], names=["_shard", "rows"]
+            )
+
+    def compare(packed: pa.Table, flagged: pa.Table) -> pa.Table:
+        """Send the contested runs of a shard's documents on."""
+        docs, found = unpack_rows(packed.column("rows")), flags_of(flagged)
+        contested = Contested(buckets, shards, width)
+        for chunk in text_chunks(docs.column("_text")) if docs and found else ():
+            ids = docs.column("_doc").slice(chunk.first, len(chunk)).to_pylist()
+            marks = marks_of(chunk).tolist()
+            own = [found.get(key) for key in zip(ids, marks, strict=True)]
+            if not any(own):
+                continue
+            runs, hashes = runs_of(chunk.data, chunk.offsets, width, anchor), Hashes(chunk.data)
+            begins = np.searchsorted(runs.text, np.arange(len(chunk)))
+            for i, flags in enumerate(own):
+                if flags is not None:
+                    number, code = flags
+                    many = np.unique(number[code == WIDELY_CONTESTED]).astype(np.int64)
+                    few = np.setdiff1d(number[code == CONTESTED], many).astype(np.int64)
+                    if len(few) or len(many):
+                        contested.add(
+                            ids[i], marks[i], chunk.data, int(chunk.offsets[i]), hashes, runs, begins[i] + few, begins[i] + many
+                        )
+        return table_of(list(contested.rows()))
+
+    def settle(table: pa.Table) -> pa.Table:
+        if table.column("_key")[0].as_py() < 2 * buckets:
+            return settle_windows(table, shards, width)
+        key = pc.subtract(table.column("_key"), pa.scalar(2 * buckets, pa.int32()))
+        return table.set_column(0, "_key", key)
+
+    def finish(packed: pa.Table, flagged: pa.Table) -> pa.Table:
+        """Cut the documents of a shard at the runs and windows found."""
+        docs = unpack_rows(packed.column("rows"))
+        if docs is None:
+            raise ValueError("flags of a shard without documents")
+        by_run = flags_of(flagged.filter(pc.equal(flagged.column("kind"), 0)))
+        by_window = flags_of(flagged.filter(pc.equal(flagged.column("kind"), 1)))
+        out, none = [], (np.zeros(0, np.int64), np.zeros(0, np.uint8))
         for chunk in text_chunks(docs.column("_text")):
-            ids = docs.column("_doc").slice(chunk.first, len(chunk)).to_numpy()
-            marks = [
-                zlib.crc32(chunk.data[a:b]) for a, b in zip(chunk.offsets[:-1], chunk.offsets[1:], strict=True)
-            ]
-            own = [found.get((int(i), m)) for i, m in zip(ids, marks, strict=True)]
-            hashes = Hashes(chunk.data) if any(own) else None
-            runs = runs_of(chunk.data, chunk.offsets, width, anchor) if any(own) else None
-            for i in range(len(chunk)):
-                a, b = chunk.offsets[i], chunk.offsets[i + 1]
-                first = last = np.zeros(0, np.int64)
-                kind = "done"
-                if own[i] is not None:
-                    begin = np.searchsorted(runs.text, i)
-                    ordinal, code = own[i]
-                    covered = begin + ordinal[code == COVERED].astype(np.int64)
-                    open_ = begin + ordinal[code == CONTESTED].astype(np.int64)
-                    first, last = runs.first[covered], runs.last[covered] + width
-                    if len(open_):
-                        kind = "wait"
-                        counts = runs.last[open_] - runs.first[open_] + 1
-                        steps = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                        starts = np.repeat(runs.first[open_], counts) + steps
-                        waiting.append((int(ids[i]), marks[i], starts, hashes.of(starts + a, starts + a + width)))
-                kinds.append(kind)
-                if kind == "done":
-                    cuts.append(result_of(chunk.data[a:b].tobytes(), first, last, texts))
-                else:
-                    first, last = merge_spans(first, last)
-                    cuts.append({"spans": [{"first": x, "last": y} for x, y in zip(first.tolist(), last.tolist())]})
-        n = docs.num_rows
-        columns = {
-            "_kind": pa.array(kinds, pa.string()),
-            "_shard": pa.array([None] * n if not n else docs.column("_shard").to_pylist(), pa.int32()),
-            "_key": pa.nulls(n, pa.int32()),
-            **{c: docs.column(c).combine_chunks() for c in ("doc_id", *extra, "_doc")},
-            "_text": pa.array(
-                [t if k == "wait" else None for t, k in zip(docs.column("_text").to_pylist(), kinds, strict=True)],
-                pa.string(),
-            ),
-            **{f.name: pa.array([c.get(f.name) for c in cuts], f.type) for f in RESULT_FIELDS},
-            **{c: pa.nulls(n, pa.binary()) for c in _WINDOW},
-        }
-        done = pa.table(columns)
-        windows = table_of(list(window_rows(waiting)), done.schema)
-        return pa.concat_tables([done, windows])
-
-    def window_rows(waiting: list[tuple]) -> Iterator[dict]:
-        if not waiting:
-            return
-        doc, mark = np.array([w[0] for w in waiting]), np.array([w[1] for w in waiting])
-        index = np.repeat(np.arange(len(waiting)), [len(w[2]) for w in waiting])
-        start, value = np.concatenate([w[2] for w in waiting]), np.concatenate([w[3] for w in waiting])
-        bucket = ((value >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        order = np.argsort(bucket, kind="stable")
-        heads = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1]))
-        for a, b in zip(heads, np.append(heads[1:], len(order)), strict=True):
-            part = order[a:b]
-            used, local = np.unique(index[part], return_inverse=True)
-            yield {
-                "_kind": "window",
-                "_key": int(bucket[part[0]]),
-                "w_docs": raw(doc[used], "i8"),
-                "w_marks": raw(mark[used], "u4"),
-                "w_index": raw(local, "u4"),
-                "w_start": raw(start[part], "u4"),
-                "w_hash": raw(value[part], "u8"),
-            }
-
-    def settle_windows(table: pa.Table) -> pa.Table:
-        """Which windows of a bucket also begin in an earlier document, by shard."""
-        docs, marks, texts, starts, hashes, base = [], [], [], [], [], 0
-        for row in table.select(_WINDOW).to_pylist():
-            docs.append(unpacked(row["w_docs"], "i8"))
-            marks.append(unpacked(row["w_marks"], "u4").astype(np.int64))
-            texts.append(unpacked(row["w_index"], "u4").astype(np.int64) + base)
-            starts.append(unpacked(row["w_start"], "u4").astype(np.int64))
-            hashes.append(unpacked(row["w_hash"], "u8"))
-            base += len(docs[-1])
-        doc, mark, text = np.concatenate(docs), np.concatenate(marks), np.concatenate(texts)
-        start, value = np.concatenate(starts), np.concatenate(hashes)
-        order, repeated = earlier_equal(doc[text], value)
-        here = order[repeated]
-        rows = flag_rows(0, shards, doc, mark, text[here], start[here], np.full(len(here), COVERED))
-        return table_of(list(rows), arrow_schema())
-
-    def finish(docs: pa.Table, flagged: pa.Table) -> pa.Table:
-        """Cut the documents of a shard that had contested runs."""
-        found, out = flags_of(flagged), []
-        columns = [docs.column(c).to_pylist() for c in ("_doc", "_text", "spans")]
-        for doc, text, spans in zip(*columns, strict=True):
-            data = (text or "").encode()
-            more, _ = found.get((doc, zlib.crc32(data)), (np.zeros(0, np.uint32), None))
-            more = more.astype(np.int64)
-            first = np.concatenate(([s["first"] for s in spans], more)).astype(np.int64)
-            last = np.concatenate(([s["last"] for s in spans], more + width)).astype(np.int64)
-            out.append(result_of(data, first, last, texts))
+            ids = docs.column("_doc").slice(chunk.first, len(chunk)).to_pylist()
+            keys = list(zip(ids, marks_of(chunk).tolist(), strict=True))
+            runs = None
+            if any(key in by_run for key in keys):
+                runs = runs_of(chunk.data, chunk.offsets, width, anchor)
+                begins = np.searchsorted(runs.text, np.arange(len(chunk)))
+            for i, key in enumerate(keys):
+                number, code = by_run.get(key, none)
+                covered = number[code == COVERED].astype(np.int64)
+                starts = by_window.get(key, none)[0].astype(np.int64)
+                first, last = starts, starts + width
+                if len(covered):
+                    first = np.concatenate((first, runs.first[begins[i] + covered]))
+                    last = np.concatenate((last, runs.last[begins[i] + covered] + width))
+                out.append(result_of(chunk.data[chunk.offsets[i] : chunk.offsets[i + 1]].tobytes(), first, last, texts))
         return pa.table(
             {
-                **{c: docs.column(c).combine_chunks() for c in ("doc_id", *extra)},
+                **{c: docs.column(c) for c in ("doc_id", *extra)},
                 **{f.name: pa.array([c[f.name] for c in out], f.type) for f in RESULT_FIELDS},
             }
         )
 
-    sharded = rows.withColumn("_shard", shard_column(F.col("_doc"), shards))
-    compared = stored(
-        sharded.groupBy("_shard").cogroup(flags.groupBy("_shard")).applyInArrow(compare, out_sql),
-        "repeats",
-        ("_kind",),
-    )
-    windows = compared.where("_kind = 'window'").select("_key", *_WINDOW)
-    covered = windows.groupBy("_key").applyInArrow(settle_windows, _SCHEMA)
-    covered = covered.select(F.col("_key").alias("_shard"), *_BLOB[:6])
-    waiting = compared.where("_kind = 'wait'").select("_shard", "_doc", "_text", "doc_id", *extra, "spans")
-    late = waiting.groupBy("_shard").cogroup(covered.groupBy("_shard")).applyInArrow(
-        finish, ", ".join([*row_types, RESULT_SQL])
-    )
-    early = compared.where("_kind = 'done'").select("doc_id", *extra, *results)
-    out = early.unionByName(late).withColumnsRenamed(dict(zip(extra, carry, strict=True)))
-    return out if texts else out.drop("kept")
+    flag_columns = [F.col(c) for c in ("docs", "marks", "firsts", "at", "code")]
+    packed = rows.select("_doc", "_text").mapInArrow(pack, _SCHEMA)
+    settled = packed.groupBy("_key").applyInArrow(lambda t: settle_bucket(t, buckets, shards), _SCHEMA)
+    by_run = stored(settled.select((F.col("_key") - buckets).alias("_shard"), *flag_columns), "runs")
+
+    texts_only = rows.select("_doc", "_text").mapInArrow(to_shards, "_shard int, rows binary")
+    contested = texts_only.groupBy("_shard").cogroup(by_run.groupBy("_shard")).applyInArrow(compare, _SCHEMA)
+    windows = contested.groupBy("_key").applyInArrow(settle, _SCHEMA)
+    by_window = stored(windows.select(F.col("_key").alias("_shard"), *flag_columns), "windows")
+
+    flags = by_run.withColumn("kind", F.lit(0)).unionByName(by_window.withColumn("kind", F.lit(1)))
+    whole = rows.mapInArrow(to_shards, "_shard int, rows binary")
+    types = [f"{e} {documents.schema[c].dataType.simpleString()}" for c, e in zip(("doc_id", *carry), ("doc_id", *extra), strict=True)]
+    cut_rows = whole.groupBy("_shard").cogroup(flags.groupBy("_shard")).applyInArrow(finish, ", ".join([*types, RESULT_SQL]))
+    out = cut_rows.withColumnsRenamed(dict(zip(extra, carry, strict=True)))
+    return out if texts else out.drop("kept", "kept_text")
