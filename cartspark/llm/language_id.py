@@ -73,12 +73,12 @@ class Encoder:
             if len(self.letters) >= KEPT_VECTORS:
                 self.letters.clear()
             draw = np.random.default_rng([self.seed, code])
-            self.letters[code] = draw.integers(0, 2, self.dimensions).astype(np.float32) * 2 - 1
+            self.letters[code] = draw.integers(0, 2, self.dimensions).astype(np.int8) * 2 - 1
         return self.letters[code]
 
     def make(self, keys: np.ndarray) -> np.ndarray:
         """Bind the letters of each key, the earlier ones permuted more often."""
-        out = np.ones((len(keys), self.dimensions), np.float32)
+        out = np.ones((len(keys), self.dimensions), np.int8)
         for place in range(self.order):
             codes = (keys >> (_BITS * place)) & ((1 << _BITS) - 1)
             found, at = np.unique(codes, return_inverse=True)
@@ -115,9 +115,9 @@ class Encoder:
             keys = (keys << _BITS) | codes[place : place + n]
         found, counts = np.unique(keys, return_counts=True)
         total = np.zeros(self.dimensions, np.float64)
-        for i in range(0, len(found), KEPT_VECTORS // 4):
-            part = slice(i, i + KEPT_VECTORS // 4)
-            total += counts[part].astype(np.float32) @ self.lookup(found[part])
+        for i in range(0, len(found), KEPT_VECTORS // 8):
+            part = slice(i, i + KEPT_VECTORS // 8)
+            total += counts[part].astype(np.float32) @ self.lookup(found[part]).astype(np.float32)
         return total
 
 
