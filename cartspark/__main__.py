@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from cartspark import plans
 from cartspark.operators import recent_windows
 from cartspark.session import build_session
@@ -34,9 +37,17 @@ def parser() -> argparse.ArgumentParser:
     publish.add_argument("--limit", type=int, help="use the first events only")
     archive = job("archive", "drain a folder of event files into a JSON lines archive", output=False)
     archive.add_argument("--output", required=True)
-    archive.add_argument("--checkpoint", required=True)
-    archive.add_argument("--limit", type=int)
+    archive.add_argument("--checkpoint", help="needed unless there is a limit")
+    archive.add_argument("--limit", type=int, help="replace the archive by the first records only")
     archive.add_argument("--max-files", type=int, help="files per micro-batch")
+    closed = job("stream-windows", "drain a folder of event files into sliding windows", output=False)
+    closed.add_argument("--window-minutes", type=int, default=5)
+    estimates = job("stream-estimates", "drain a folder of record files into an estimate per micro-batch", output=False)
+    estimates.add_argument("--dead-letters", help="folder for the records that cannot be decoded")
+    for stream in (closed, estimates):
+        stream.add_argument("--output", required=True)
+        stream.add_argument("--checkpoint", required=True)
+        stream.add_argument("--max-files", type=int, help="files per micro-batch")
     return top
 
 
@@ -44,7 +55,7 @@ def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = build_session(f"cartspark-{args.job}")
     if args.job == "archive":
-        count = plans.archive(
+        archived, rejected = plans.archive(
             spark,
             args.input,
             args.output,
@@ -53,7 +64,18 @@ def main(arguments: list[str] | None = None) -> None:
             args.limit,
             args.max_files,
         )
-        print(f"records read: {count}")
+        print(f"records archived: {archived}, rejected: {rejected}")
+        return
+    if args.job == "stream-windows":
+        windows = plans.stream_windows(
+            spark, args.input, args.output, args.checkpoint, args.input_format, args.window_minutes, args.max_files
+        )
+        recent_windows(windows).show(truncate=False)
+        return
+    if args.job == "stream-estimates":
+        plans.stream_estimates(
+            spark, args.input, args.output, args.checkpoint, args.input_format, args.dead_letters, args.max_files
+        ).show(truncate=False)
         return
     if args.job == "serve":
         for table in plans.serving_report(spark, args.output, args.format):
@@ -74,7 +96,12 @@ def main(arguments: list[str] | None = None) -> None:
         )
         recent_windows(windows).show(truncate=False)
     else:
-        plans.publish(events, args.limit).write.mode("overwrite").format(args.format).save(args.output)
+        tally = Observation()
+        records = plans.publish(events, args.limit).observe(
+            tally, F.count(F.lit(1)).alias("sent"), F.count_if(F.col("key").isNull()).alias("unkeyed")
+        )
+        records.write.mode("overwrite").format(args.format).save(args.output)
+        print("records sent: {sent}, without a key: {unkeyed}".format(**tally.get))
 
 
 if __name__ == "__main__":

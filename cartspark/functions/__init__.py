@@ -5,6 +5,8 @@ from cartspark.functions.expressions import (
     event_time,
     first_list_item,
     hour_of,
+    is_one_object,
+    json_list,
     pane_ceil,
     pane_floor,
     percent,
@@ -21,6 +23,8 @@ __all__ = [
     "event_time",
     "first_list_item",
     "hour_of",
+    "is_one_object",
+    "json_list",
     "pane_ceil",
     "pane_floor",
     "percent",

@@ -87,3 +87,17 @@ def first_list_item(value: Column, data_type: T.DataType) -> Column:
     """First entry of a list given as array or as JSON text; an empty string when there is none."""
     items = value if isinstance(data_type, T.ArrayType) else F.from_json(value, "array<string>")
     return F.coalesce(F.get(items, F.lit(0)).cast("string"), F.lit(""))
+
+
+def json_list(text: Column, fields: str) -> Column:
+    """The JSON text as a list of objects with ``fields``: of one, if it is an object and nothing else.
+
+    Inside brackets, text behind the object makes the whole unreadable or a list of several.
+    """
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<struct<{fields}>>")
+
+
+def is_one_object(text: Column) -> Column:
+    """Whether a text is one JSON object."""
+    one = F.size(json_list(text, "any string")) == 1
+    return F.coalesce(one & text.rlike(r"^[ \t\r\n]*\{"), F.lit(False))

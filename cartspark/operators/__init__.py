@@ -18,6 +18,7 @@ from cartspark.operators.serving import alert_summary, serving_view
 from cartspark.operators.trends import hourly_event_trend, micro_batch_estimate
 from cartspark.operators.windows import (
     cart_groups,
+    last_windows,
     latest_window,
     recent_windows,
     sliding_windows,
@@ -34,6 +35,7 @@ __all__ = [
     "history_rollup",
     "hourly_abandonment_trend",
     "hourly_event_trend",
+    "last_windows",
     "latest_window",
     "micro_batch_estimate",
     "null_profile",

@@ -34,20 +34,22 @@ def micro_batch_estimate(
 ) -> DataFrame:
     """A quick estimate per micro-batch from counts alone: adds minus purchases, not below zero.
 
-    ``records`` are decoded records; where they carry a ``failure_reason``, the failed ones are counted apart.
+    ``records`` are events or decoded records; where they carry a ``failure_reason``, the failed ones are counted
+    apart, and where they carry a ``record_number``, a row without one stands for a batch without records.
     ``by`` names the columns that tell the batches apart; without it the whole frame is one batch.
     """
     failed = (
         F.col("failure_reason").isNotNull() if "failure_reason" in records.columns else F.lit(False)
     )
+    there = F.col("record_number").isNotNull() if "record_number" in records.columns else F.lit(True)
     adds, purchases = F.col(f"{ADD_TO_CART}_count"), F.col(f"{PURCHASE}_count")
     abandoned = F.greatest(adds - purchases, F.lit(0))
     rate = percent(abandoned, adds)
     return (
         records.groupBy(*by)
         .agg(
-            F.count_if(~failed).alias("processed_record_count"),
-            F.count_if(failed).alias("failed_record_count"),
+            F.count_if(there & ~failed).alias("processed_record_count"),
+            F.count_if(there & failed).alias("failed_record_count"),
             *event_counters(F.when(~failed, F.col("event"))),
         )
         .select(

@@ -11,6 +11,8 @@ window.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,19 +38,21 @@ def sliding_windows(
     slide_minutes: int = 1,
     threshold: float = ALERT_THRESHOLD,
     cart_events: DataFrame | None = None,
+    bounds: tuple[int, int] | None = None,
 ) -> DataFrame:
     """One row per window that holds an event.
 
     Windows start on multiples of the slide. The first starts at or just before the first event, and the last
     ends at or just after the last event; an event exactly at that end is outside. ``cart_events`` may give the
-    add and purchase events alone where the caller can filter them in the file scan.
+    add and purchase events alone where the caller can filter them in the file scan. ``bounds`` are the first start
+    and the last end where they are known, counted in slides.
     """
     span = _panes_per_window(width_minutes, slide_minutes)
     pane_ms = slide_minutes * MINUTE_MS
     carts = _cart_panes(events if cart_events is None else cart_events, pane_ms)
     pairs = _summarise_items(_items_per_window(_window_runs(carts, span)), PAIR_COUNTS)
     # Both sides are already partitioned by start, so joining them in place costs no shuffle and no broadcast.
-    windows = _window_totals(events, span, pane_ms).join(
+    windows = _window_totals(events, span, pane_ms, bounds).join(
         pairs.hint("shuffle_hash"), "start", "left"
     )
     return _window_rows(windows, F.col("start") * pane_ms, width_minutes, threshold)
@@ -60,19 +64,65 @@ def _panes_per_window(width_minutes: int, slide_minutes: int) -> int:
     return width_minutes // slide_minutes
 
 
-def _window_totals(events: DataFrame, span: int, pane_ms: int) -> DataFrame:
+def last_windows(
+    events: DataFrame,
+    n: int = 1,
+    width_minutes: int = 5,
+    slide_minutes: int = 1,
+    threshold: float = ALERT_THRESHOLD,
+    between: Callable[[int, int], tuple[DataFrame, DataFrame]] | None = None,
+) -> DataFrame:
+    """The last ``n`` windows that hold an event, without making the others.
+
+    Counts per pane, from the time column alone, give their starts; then only the events of those windows are read.
+    ``between`` returns all events and the add and purchase events from one epoch millisecond to another, where the
+    caller can filter the scan by it; else the events are filtered by ``timestamp``.
+    """
+    span, pane_ms = _panes_per_window(width_minutes, slide_minutes), slide_minutes * MINUTE_MS
+    panes = (
+        events.groupBy(pane_floor(F.col("timestamp"), pane_ms).alias("pane"))
+        .agg(F.max(pane_ceil(F.col("timestamp"), pane_ms)).alias("ceil"))
+        .filter(F.col("pane").isNotNull())
+    )
+    ends = panes.agg(F.min("pane"), F.max("ceil")).first()
+    starts = []
+    if ends[0] is not None:
+        starts = (
+            panes.selectExpr(f"explode(sequence(pane - {span - 1}, pane)) AS start")
+            .filter(F.col("start").between(ends[0], ends[1] - span))
+            .distinct()
+            .orderBy(F.desc("start"))
+            .limit(n)
+            .collect()
+        )
+    first, last = (starts[-1][0], starts[0][0] + span) if starts else (0, 0)
+    low, high = first * pane_ms, last * pane_ms - 1
+    if between is None:
+        part = events.filter(F.col("timestamp").between(low, high))
+        carts = part
+    else:
+        part, carts = between(low, high)
+    return sliding_windows(part, width_minutes, slide_minutes, threshold, carts, (first, last))
+
+
+def _window_totals(
+    events: DataFrame, span: int, pane_ms: int, known: tuple[int, int] | None
+) -> DataFrame:
     """Event counts per window. Only the counts per pane are copied into windows, not the events."""
     panes = (
         events.groupBy(pane_floor(F.col("timestamp"), pane_ms).alias("pane"))
         .agg(*_event_counts(F.col("event")))
         .filter(F.col("pane").isNotNull())
     )
-    bounds = events.agg(
-        F.struct(
-            F.min(pane_floor(F.col("timestamp"), pane_ms)).alias("first_start"),
-            F.max(pane_ceil(F.col("timestamp"), pane_ms)).alias("last_end"),
-        )
-    ).scalar()
+    if known is None:
+        bounds = events.agg(
+            F.struct(
+                F.min(pane_floor(F.col("timestamp"), pane_ms)).alias("first_start"),
+                F.max(pane_ceil(F.col("timestamp"), pane_ms)).alias("last_end"),
+            )
+        ).scalar()
+    else:
+        bounds = F.struct(F.lit(known[0]).alias("first_start"), F.lit(known[1]).alias("last_end"))
     return (
         panes.selectExpr(f"explode(sequence(pane - {span - 1}, pane)) AS start", *EVENT_COUNTS)
         .filter(F.col("start") >= bounds["first_start"])

@@ -5,6 +5,8 @@ from cartspark.plans.jobs import (
     publish,
     serving_report,
     speed_report,
+    stream_estimates,
+    stream_windows,
 )
 
 __all__ = [
@@ -14,4 +16,6 @@ __all__ = [
     "publish",
     "serving_report",
     "speed_report",
+    "stream_estimates",
+    "stream_windows",
 ]

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartspark import operators as ops
 from cartspark import plans
@@ -35,8 +36,10 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return canonical_events(event_log(spark, folder))
 
 
-def cart_events(spark: SparkSession, folder: str) -> DataFrame:
-    return canonical_events(event_log(spark, folder), only=CART_EVENTS)
+def cart_events(
+    spark: SparkSession, folder: str, between: tuple[int, int] | None = None
+) -> DataFrame:
+    return canonical_events(event_log(spark, folder), only=CART_EVENTS, between=between)
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,6 +58,14 @@ def windows(spark: SparkSession, folder: str, width_minutes: int = 5) -> DataFra
     )
 
 
+def last_windows(spark: SparkSession, folder: str, n: int) -> DataFrame:
+    def between(low: int, high: int) -> tuple[DataFrame, DataFrame]:
+        log = event_log(spark, folder)
+        return canonical_events(log, between=(low, high)), cart_events(spark, folder, (low, high))
+
+    return ops.last_windows(events(spark, folder), n, between=between)
+
+
 def flat(df: DataFrame) -> DataFrame:
     """Epoch milliseconds for timestamps, joined text for the item list and JSON text for the counts."""
     out = epoch_columns(df)
@@ -68,7 +79,11 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def envelopes(spark: SparkSession, folder: str) -> DataFrame:
-    """The events as encoded envelopes of 100 records. Errors arrive as plain text and sign-ups as a JSON list."""
+    """The events as encoded envelopes of 100 records, and one without any.
+
+    Errors arrive as plain text and sign-ups as a JSON list; of every 50 events one is cut off, one is no UTF-8 and one
+    has no data.
+    """
     rows = canonical_events(event_log(spark, folder), keep=("event_id",))
     record = F.to_json(F.struct(*EVENT_SCHEMA.names), {"ignoreNullFields": "false"})
     sent = (
@@ -76,17 +91,26 @@ def envelopes(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("event") == "signup", F.lit("[1]"))
         .otherwise(record)
     )
-    data = F.base64(F.encode(sent, "utf-8"))
-    return rows.groupBy(
-        F.floor(F.col("event_id") / ENVELOPE_RECORDS).alias("envelope_id")
-    ).agg(F.collect_list(F.struct(F.struct(data.alias("data")).alias("kinesis"))).alias("Records"))
+    nth = F.col("event_id") % 50
+    data = (
+        F.when(nth == 7, F.lit("A"))
+        .when(nth == 17, F.base64(F.unhex(F.lit("FFFE"))))
+        .when(nth != 27, F.base64(F.encode(sent, "utf-8")))
+    )
+    filled = rows.groupBy(F.floor(F.col("event_id") / ENVELOPE_RECORDS).alias("envelope_id")).agg(
+        F.collect_list(F.struct(F.struct(data.alias("data")).alias("kinesis"))).alias("Records")
+    )
+    return filled.unionByName(spark.createDataFrame([(-1, [])], filled.schema))
 
 
 def serving_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Summary and top products from one stored rollup, and the latest window alone."""
+    path = write_result(ops.history_rollup(events(spark, folder)), scratch_path(spark, "rollup"), "rollup", partition_by=("level",))
+    rollup = spark.read.parquet(path)
     return (
-        ops.batch_summary(events(spark, folder)),
-        ops.top_abandoned_products(pairs(spark, folder)),
-        windows(spark, folder),
+        ops.rollup_summary(rollup),
+        ops.top_abandoned_products(ops.rollup_pairs(rollup)),
+        last_windows(spark, folder, 1),
     )
 
 
@@ -117,8 +141,14 @@ def keyed_envelope(spark: SparkSession, folder: str) -> DataFrame:
     return st.keyed_envelope(st.stamp_ingestion(rows, at=event_time(F.col("timestamp"))))
 
 
+def value_events(spark: SparkSession, folder: str) -> DataFrame:
+    """From published values back to events."""
+    return st.good_events(st.decode_values(keyed_envelope(spark, folder)))
+
+
 def decode_envelope(spark: SparkSession, folder: str) -> DataFrame:
-    return st.decode_envelope(envelopes(spark, folder), keep=("envelope_id",)).drop("data")
+    decoded = st.decode_envelope(envelopes(spark, folder), keep=("envelope_id",))
+    return decoded.drop("data", "record_number")
 
 
 def micro_batch_estimate(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,16 +157,20 @@ def micro_batch_estimate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def archive_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The published records, archived as they came and read back with the field that the event table lacks."""
     base = scratch_path(spark, "archive")
-    stream = event_stream(spark, folder)
-    st.archive_stream(stream, f"{base}/data", f"{base}/checkpoint").awaitTermination()
-    return read_events(spark, f"{base}/data", "json")
+    keyed_envelope(spark, folder).select("value").write.text(f"{base}/landing")
+    plans.archive(spark, f"{base}/landing", f"{base}/archive", f"{base}/checkpoint")
+    schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField("ingestion_time", T.StringType())])
+    return spark.read.schema(schema).json(f"{base}/archive/{st.RECORDS}").select(*schema.names)
 
 
-def stream_sliding_windows(spark: SparkSession, folder: str) -> DataFrame:
+def stream_sliding_windows(spark: SparkSession, folder: str, width_minutes: int = 5) -> DataFrame:
     base = scratch_path(spark, "windows")
     stream = event_stream(spark, folder)
-    st.stream_sliding_windows(stream, f"{base}/data", f"{base}/checkpoint").awaitTermination()
+    st.stream_sliding_windows(
+        stream, f"{base}/data", f"{base}/checkpoint", width_minutes
+    ).awaitTermination()
     return flat(st.read_stream_windows(spark, f"{base}/data"))
 
 
@@ -174,16 +208,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_abandonment_trend": lambda s, d: flat(ops.hourly_abandonment_trend(pairs(s, d))),
     "sliding_windows_5m": lambda s, d: flat(windows(s, d, 5)),
     "sliding_windows_60m": lambda s, d: flat(windows(s, d, 60)),
-    "recent_windows": lambda s, d: flat(ops.recent_windows(windows(s, d))),
-    "latest_window": lambda s, d: flat(ops.latest_window(windows(s, d))),
+    "recent_windows": lambda s, d: flat(last_windows(s, d, 10)),
+    "latest_window": lambda s, d: flat(last_windows(s, d, 1)),
     "serving_view": serving_view,
     "alert_summary": alert_summary,
     "serving_report": serving_report,
     "keyed_envelope": keyed_envelope,
+    "value_events": value_events,
     "decode_envelope": decode_envelope,
     "micro_batch_estimate": micro_batch_estimate,
     "archive_stream": archive_stream,
     "stream_sliding_windows": stream_sliding_windows,
+    "stream_sliding_windows_60m": lambda s, d: stream_sliding_windows(s, d, 60),
     "stream_batch_estimates": stream_batch_estimates,
     "ratio_to_baseline": ratio_to_baseline,
 }

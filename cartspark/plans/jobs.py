@@ -7,21 +7,28 @@ from pyspark.sql import functions as F
 
 from cartspark import operators as ops
 from cartspark.functions.expressions import ALERT_THRESHOLD
-from cartspark.session import scratch_path
 from cartspark.sources import (
     EVENT_SCHEMA,
     first_events,
     read_result,
+    remove_table,
     require_columns,
     sample_rows,
     write_result,
 )
 from cartspark.streaming import (
-    archive_stream,
+    archive_first_records,
+    archive_records,
+    archived_counts,
+    decode_values,
     keyed_envelope,
-    records_read,
+    read_estimates,
+    read_stream_windows,
+    record_values,
     stamp_ingestion,
+    stream_batch_estimates,
     stream_events,
+    stream_sliding_windows,
 )
 
 # Result tables.
@@ -74,12 +81,10 @@ def batch_report(
 ) -> dict[str, DataFrame]:
     """Write the summary, top products and both hourly trends; return the tables as written.
 
-    The history is scanned and shuffled once, into a rollup kept in the shared folder, and the four results are
-    read off it. An executor lost later costs a part of the rollup's readers, not the scan.
+    The history is scanned and shuffled once, into a rollup below the output that is removed when the job is done, and
+    the four results are read off it. An executor lost later costs a part of the rollup's readers, not the scan.
     """
-    stored = write_result(
-        ops.history_rollup(events), scratch_path(spark, "rollup"), "rollup", partition_by=("level",)
-    )
+    stored = write_result(ops.history_rollup(events), output, "_rollup", partition_by=("level",))
     rollup = spark.read.parquet(stored)
     pairs = ops.rollup_pairs(rollup)
     write_result(ops.rollup_summary(rollup, scale), output, SUMMARY, fmt, tiny=True)
@@ -88,6 +93,7 @@ def batch_report(
     write_result(
         ops.hourly_abandonment_trend(pairs).orderBy("hour"), output, HOURLY_ABANDONMENT, fmt
     )
+    remove_table(spark, stored)
     schemas = {
         SUMMARY: SUMMARY_SCHEMA,
         TOP_PRODUCTS: TOP_SCHEMA,
@@ -107,10 +113,15 @@ def speed_report(
     threshold: float = ALERT_THRESHOLD,
 ) -> DataFrame:
     """Write the sliding windows over the events, or over the first ``limit`` of them."""
+    stored = None
     if limit is not None:
-        events = first_events(events, limit)
+        # Used three times below, found once.
+        stored = write_result(first_events(events, limit), output, "_events")
+        events = spark.read.schema(EVENT_SCHEMA).parquet(stored)
     windows = ops.sliding_windows(events, width_minutes, threshold=threshold)
     write_result(windows.orderBy("window_end"), output, WINDOWS, fmt)
+    if stored is not None:
+        remove_table(spark, stored)
     return read_windows(spark, output, fmt)
 
 
@@ -147,19 +158,57 @@ def archive(
     spark: SparkSession,
     source: str,
     output: str,
-    checkpoint: str,
+    checkpoint: str | None = None,
     fmt: str = "json",
     limit: int | None = None,
     max_files: int | None = None,
-) -> int:
-    """Drain a folder of event files into a JSON lines archive; returns the number of records read."""
-    query = archive_stream(
-        stream_events(spark, source, fmt, max_files), output, checkpoint, limit=limit
-    )
+) -> tuple[int, int]:
+    """Drain a folder of record files into an archive; returns how many records were archived and rejected.
+
+    With a checkpoint a run adds what is new since the last one. A limited run replaces the archive by the first
+    ``limit`` records and keeps no checkpoint, since a checkpoint would count the records beyond the limit as done.
+    """
+    if limit is not None:
+        if checkpoint is not None:
+            raise ValueError("a limited archive starts from the first record on every run and takes no checkpoint")
+        return archive_first_records(record_values(spark, source, fmt, stream=False), output, limit)
+    if checkpoint is None:
+        raise ValueError("name a checkpoint, so that a later run goes on where this one ends")
+    before = archived_counts(spark, output)
+    query = archive_records(record_values(spark, source, fmt, max_files), output, checkpoint)
     query.awaitTermination()
-    return records_read(query)
+    new = [counts for batch, counts in archived_counts(spark, output).items() if batch not in before]
+    return sum(n for n, _ in new), sum(n for _, n in new)
+
+
+def stream_windows(
+    spark: SparkSession,
+    source: str,
+    output: str,
+    checkpoint: str,
+    fmt: str = "json",
+    width_minutes: int = 5,
+    max_files: int | None = None,
+) -> DataFrame:
+    """Drain a folder of event files into the windows that are closed; returns all windows so far."""
+    events = stream_events(spark, source, fmt, max_files)
+    stream_sliding_windows(events, output, checkpoint, width_minutes).awaitTermination()
+    return read_stream_windows(spark, output)
 
 
+def stream_estimates(
+    spark: SparkSession,
+    source: str,
+    output: str,
+    checkpoint: str,
+    fmt: str = "json",
+    dead_letters: str | None = None,
+    max_files: int | None = None,
+) -> DataFrame:
+    """Drain a folder of record files into one estimate per micro-batch; returns all estimates so far."""
+    records = decode_values(record_values(spark, source, fmt, max_files))
+    stream_batch_estimates(records, output, checkpoint, dead_letters=dead_letters).awaitTermination()
+    return read_estimates(spark, output)
 
 
 def epoch_columns(df: DataFrame) -> DataFrame:

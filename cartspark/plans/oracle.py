@@ -117,21 +117,28 @@ SELECT overall_cart_abandonment_rate AS historical_abandonment_rate,
   split_part(top_5_abandoned_item_ids, ',', 1) AS recent_top_abandoned_item
 FROM summary LEFT JOIN latest ON true"""
 
-# Records of the encoded envelopes: errors and sign-ups are sent in a form that cannot be decoded.
+# Records of the encoded envelopes: errors, sign-ups and three of every 50 events are sent in a form that cannot be
+# decoded. One envelope, with the number -1, is empty.
 DECODED = f"""{EVENTS},
-decoded AS (
-  SELECT event_id // 100 AS envelope_id,
-    CASE event WHEN 'error' THEN 'bad json' WHEN 'signup' THEN 'not an object' END AS failure_reason,
-    CASE WHEN event NOT IN ('error', 'signup') THEN timestamp END AS timestamp,
-    CASE WHEN event NOT IN ('error', 'signup') THEN visitorid END AS visitorid,
-    CASE WHEN event NOT IN ('error', 'signup') THEN event END AS event,
-    CASE WHEN event NOT IN ('error', 'signup') THEN itemid END AS itemid,
-    transactionid
+reasons AS (
+  SELECT *, CASE WHEN event_id % 50 = 7 THEN 'bad base64' WHEN event_id % 50 = 17 THEN 'bad utf-8'
+    WHEN event_id % 50 = 27 THEN 'no data' WHEN event = 'error' THEN 'bad json'
+    WHEN event = 'signup' THEN 'not an object' END AS failure_reason
   FROM ev
+),
+decoded AS (
+  SELECT event_id // 100 AS envelope_id, failure_reason,
+    CASE WHEN failure_reason IS NULL THEN timestamp END AS timestamp,
+    CASE WHEN failure_reason IS NULL THEN visitorid END AS visitorid,
+    CASE WHEN failure_reason IS NULL THEN event END AS event,
+    CASE WHEN failure_reason IS NULL THEN itemid END AS itemid,
+    CASE WHEN failure_reason IS NULL THEN transactionid END AS transactionid
+  FROM reasons
+  UNION ALL SELECT -1, NULL, NULL, NULL, NULL, NULL, NULL
 )"""
 
 
-def _estimate(source: str, by: str, failed: str) -> str:
+def _estimate(source: str, by: str, failed: str, there: str = "true") -> str:
     return f"""SELECT {by}, processed_record_count, failed_record_count,
   printf('{{"view":%d,"addtocart":%d,"transaction":%d}}', views, adds, buys) AS event_counts,
   adds AS addtocart_count, buys AS transaction_count,
@@ -141,7 +148,7 @@ def _estimate(source: str, by: str, failed: str) -> str:
   CASE WHEN adds > 0 AND greatest(adds - buys, 0) / adds * 100 > 60 THEN 'HIGH_RISK' ELSE 'NORMAL' END
     AS alert_status
 FROM (
-  SELECT {by}, count(*) FILTER (WHERE NOT ({failed})) AS processed_record_count,
+  SELECT {by}, count(*) FILTER (WHERE NOT ({failed}) AND {there}) AS processed_record_count,
     count(*) FILTER (WHERE {failed}) AS failed_record_count,
     count(*) FILTER (WHERE event = 'view') AS views,
     count(*) FILTER (WHERE event = 'addtocart') AS adds,
@@ -158,7 +165,9 @@ BY_COLUMNS = "ORDER BY timestamp NULLS LAST, visitorid NULLS LAST, event NULLS L
 ORACLE_SQL: dict[str, str] = {
     "canonical_events": ALL_EVENTS,
     "read_events": ALL_EVENTS,
-    "archive_stream": ALL_EVENTS,
+    "value_events": ALL_EVENTS,
+    "archive_stream": f"""WITH {EVENTS} SELECT {EVENT_COLUMNS},
+  strftime(make_timestamp(timestamp * 1000), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS ingestion_time FROM ev""",
     "event_type_counts": f"WITH {EVENTS} SELECT event, count(*) AS event_count FROM ev GROUP BY event",
     "null_profile": f"WITH {EVENTS} "
     + " UNION ALL ".join(
@@ -231,10 +240,13 @@ SELECT CAST(visitorid AS VARCHAR) AS key,
 FROM ev""",
     "decode_envelope": f"WITH {DECODED} SELECT * FROM decoded",
     "micro_batch_estimate": f"WITH {DECODED} "
-    + _estimate("decoded", "envelope_id", "failure_reason IS NOT NULL"),
+    + _estimate("decoded", "envelope_id", "failure_reason IS NOT NULL", "envelope_id >= 0"),
     "stream_sliding_windows": "WITH "
     + _windows(5, closed_before="(SELECT max(timestamp) FROM ev) - 600000")
     + " SELECT * FROM win",
+    "stream_sliding_windows_60m": "WITH "
+    + _windows(60, closed_before="(SELECT max(timestamp) FROM ev) - 600000")
+    + " SELECT * FROM win",
     "stream_batch_estimates": f"WITH {EVENTS}, batch AS (SELECT 0::BIGINT AS batch_id, event FROM ev) "
     + _estimate("batch", "batch_id", "false"),
     "ratio_to_baseline": f"""WITH {EVENTS},

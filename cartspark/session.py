@@ -18,6 +18,17 @@ DEFAULT_SETTINGS = {
 }
 
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def use_disk_state(spark: SparkSession) -> None:
+    """Keep the state of streams on disk also in a session that was handed in, unless it names a store itself."""
+    if "HDFSBackedStateStoreProvider" in spark.conf.get(STATE_PROVIDER):
+        for key, value in DEFAULT_SETTINGS.items():
+            if ".stateStore." in key:
+                spark.conf.set(key, value)
+
+
 def build_session(
     app_name: str = "cartspark", master: str | None = None, settings: dict[str, str] | None = None
 ) -> SparkSession:

@@ -14,7 +14,7 @@ from cartspark.sources.events import (
     require_columns,
     sample_rows,
 )
-from cartspark.sources.results import read_result, write_result
+from cartspark.sources.results import read_result, remove_table, write_result
 
 __all__ = [
     "ADD_TO_CART",
@@ -30,6 +30,7 @@ __all__ = [
     "first_events",
     "read_events",
     "read_result",
+    "remove_table",
     "require_columns",
     "sample_rows",
     "write_result",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -57,25 +58,26 @@ def conform_events(df: DataFrame) -> DataFrame:
     """Cast a frame with the event columns to the declared types; ``transactionid`` may be absent."""
     require_columns(df)
     types = {field.name: field.dataType for field in df.schema}
-    return df.select(
-        *(
-            (
-                F.lit(None).cast("bigint")
-                if name not in types
-                else F.col(name).cast("string")
-                if name == "event"
-                else to_long(F.col(name), types[name])
-            ).alias(name)
-            for name in EVENT_SCHEMA.names
-        )
-    )
+
+    def cell(name: str) -> Column:
+        if name not in types:
+            return F.lit(None).cast("bigint")
+        if name == "event":
+            return F.col(name).cast("string")
+        if isinstance(types[name], T.TimestampType | T.TimestampNTZType):
+            return _utc_millis(df, name)
+        return to_long(F.col(name), types[name])
+
+    return df.select(*(cell(name).alias(name) for name in EVENT_SCHEMA.names))
 
 
 def read_events(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Events from csv (with header), json lines, parquet or orc. No pass over the data to infer types."""
     if fmt == "csv":
-        # Columns go by their names in the header, so their order does not matter.
-        raw = spark.read.option("header", True).csv(path)
+        # The columns of the first file's header, in whatever order. A folder whose files have other headers is an
+        # error when it is read: by position their columns would be mixed up.
+        header = spark.read.option("header", True).csv(path).schema
+        raw = spark.read.option("header", True).option("enforceSchema", False).schema(header).csv(path)
     elif fmt == "json":
         raw = spark.read.schema(TEXT_SCHEMA).json(path)
     else:
@@ -88,12 +90,17 @@ def canonical_events(
     only: Iterable[str] | None = None,
     names: Mapping[str, str] = EVENT_LOG_NAMES,
     keep: tuple[str, ...] = (),
+    between: tuple[int, int] | None = None,
 ) -> DataFrame:
     """The event table from an event log (event_id, ts, user_id, event_type, props).
 
     ``only`` keeps the given events. It filters the log's own names, so that the filter reaches the file scan,
-    which a filter on the renamed column would not. ``keep`` names columns of the log to carry along.
+    which a filter on the renamed column would not. ``keep`` names columns of the log to carry along. ``between``
+    gives the first and last epoch millisecond, and filters the log's own time column for the same reason.
     """
+    if between is not None:
+        log = log.filter(_moment(log, "ts", between[0]) <= F.col("ts"))
+        log = log.filter(F.col("ts") < _moment(log, "ts", between[1] + 1))
     if only is not None:
         wanted = set(only)
         sources = [raw for raw, name in names.items() if name in wanted]
@@ -121,16 +128,22 @@ def _utc_millis(df: DataFrame, name: str) -> Column:
     return F.unix_millis(moment)
 
 
+def _moment(df: DataFrame, name: str, millis: int) -> Column:
+    """A constant of the column's own type, so that a comparison with it reaches the scan."""
+    kind = df.schema[name].dataType.simpleString()
+    at = (datetime(1970, 1, 1) + timedelta(milliseconds=millis)).isoformat(sep=" ")
+    return F.lit(f"{at}Z" if kind == "timestamp" else at).cast(kind)
+
+
 def _event_order() -> list:
     return [F.col(name).asc_nulls_last() for name in EVENT_SCHEMA.names]
 
 
 def first_events(events: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` events in time; events without a time come last.
+    """The first ``n`` events in time, in no particular order; events without a time come last.
 
-    A plain top-n sends up to n rows of every task to one task. With a large n that is most of the table, so
-    the minute in which the n-th event falls is found first, from counts per minute, and only events up to that
-    minute are ordered.
+    Counts per minute tell in which minute the n-th event falls. All events before that minute belong to the
+    result as they are; only those of that one minute (or those without a time) are ordered.
     """
     if n < 0:
         raise ValueError("n must not be negative")
@@ -139,12 +152,18 @@ def first_events(events: DataFrame, n: int) -> DataFrame:
     per_minute = events.groupBy(minute.alias("minute")).agg(F.count(F.lit(1)).alias("n"))
     # One row per minute of history: small enough for the single task that a running total needs.
     running = per_minute.filter("minute IS NOT NULL").select(
-        "minute", F.sum("n").over(Window.orderBy("minute")).alias("seen")
-    )
-    cutoff = running.filter(F.col("seen") >= n).agg(F.min("minute").alias("minute")).scalar()
-    return (
-        events.filter(cutoff.isNull() | (minute <= cutoff)).orderBy(*_event_order()).limit(n)
+        "minute", "n", F.sum("n").over(Window.orderBy("minute")).alias("seen")
     )
+    found = running.agg(
+        F.min(F.when(F.col("seen") >= n, F.struct("minute", (F.col("seen") - F.col("n")).alias("before")))).alias("at"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("dated"),
+    ).first()
+    if found["at"] is None:
+        head, tail, left = events.filter(minute.isNotNull()), events.filter(minute.isNull()), n - found["dated"]
+    else:
+        cutoff = F.lit(found["at"]["minute"])
+        head, tail, left = events.filter(minute < cutoff), events.filter(minute == cutoff), n - found["at"]["before"]
+    return head.unionByName(tail.orderBy(*_event_order()).limit(left))
 
 
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+# A null is written as a mark of its own, so that an empty text stays one.
+CSV_OPTIONS = {"header": True, "nullValue": "\\N"}
+
 
 def write_result(
     df: DataFrame,
@@ -31,11 +34,17 @@ def write_result(
         )
     writer = out.write.mode("overwrite").partitionBy(*partition_by)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV_OPTIONS)
     writer.format(fmt).save(path)
     return path
 
 
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table, wherever it is stored."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_result(
     spark: SparkSession, base: str, name: str, fmt: str = "parquet", schema: str | T.StructType | None = None
 ) -> DataFrame:
@@ -45,7 +54,7 @@ def read_result(
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV_OPTIONS, emptyValue="")
     try:
         return reader.load(path)
     except AnalysisException as error:

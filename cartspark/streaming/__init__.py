@@ -1,19 +1,40 @@
-from cartspark.streaming.archive import archive_stream, keyed_envelope, stamp_ingestion
-from cartspark.streaming.envelope import decode_envelope, decode_records, failed_records, good_events
+from cartspark.streaming.archive import (
+    RECORDS,
+    REJECTED,
+    archive_first_records,
+    archive_records,
+    archive_stream,
+    archived_counts,
+    keyed_envelope,
+    stamp_ingestion,
+)
+from cartspark.streaming.envelope import (
+    decode_envelope,
+    decode_records,
+    decode_values,
+    failed_records,
+    good_events,
+)
 from cartspark.streaming.estimates import read_estimates, stream_batch_estimates
 from cartspark.streaming.sliding import read_stream_windows, stream_sliding_windows
-from cartspark.streaming.sources import records_read, stream_events, stream_values
+from cartspark.streaming.sources import record_values, stream_events, stream_values
 
 __all__ = [
+    "RECORDS",
+    "REJECTED",
+    "archive_first_records",
+    "archive_records",
     "archive_stream",
+    "archived_counts",
     "decode_envelope",
     "decode_records",
+    "decode_values",
     "failed_records",
     "good_events",
     "keyed_envelope",
     "read_estimates",
     "read_stream_windows",
-    "records_read",
+    "record_values",
     "stamp_ingestion",
     "stream_batch_estimates",
     "stream_events",

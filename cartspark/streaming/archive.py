@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cartspark.functions import clean_nan, date_of, utc_text
+from cartspark.functions import clean_nan, date_of, is_one_object, utc_text
+from cartspark.sources.results import remove_table
 
 BATCH = "batch_id"
 
@@ -29,26 +31,14 @@ def keyed_envelope(records: DataFrame, key: str = "visitorid") -> DataFrame:
 
 
 def archive_stream(
-    records: DataFrame,
-    path: str,
-    checkpoint: str,
-    fmt: str = "json",
-    *,
-    by_date: bool = False,
-    limit: int | None = None,
+    records: DataFrame, path: str, checkpoint: str, fmt: str = "json", *, by_date: bool = False
 ) -> StreamingQuery:
-    """Write what the stream holds to files and stop. A later run with the same checkpoint adds what is new.
+    """Write the events that the stream holds to files and stop. A later run with the same checkpoint adds what is new.
 
-    ``by_date`` partitions the archive by event date, so that batch jobs can skip days. ``limit`` stops
-    archiving after that many records; each micro-batch then has its own folder, which a rerun replaces.
+    ``by_date`` partitions the archive by event date, so that batch jobs can skip days. Only the event columns are kept;
+    ``archive_records`` keeps the records as they came.
     """
-    if limit is not None and by_date:
-        raise ValueError("a limited archive is not partitioned by date")
-    if limit is not None and limit < 0:
-        raise ValueError("limit must not be negative")
     writer = records.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if limit is not None:
-        return writer.foreachBatch(_limited_writer(path, fmt, limit)).start()
     if by_date:
         dated = records.withColumn("event_date", date_of(F.col("timestamp")))
         writer = (
@@ -59,19 +49,80 @@ def archive_stream(
     return writer.format(fmt).option("path", path).outputMode("append").start()
 
 
-def _limited_writer(path: str, fmt: str, limit: int):
+# Parts of an archive of records.
+RECORDS, REJECTED, COUNTS = "records", "rejected", "counts"
+
+
+def archive_records(values: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the text column ``value`` of all records that the stream holds, as it came, and stop.
+
+    ``path/records`` gets the JSON objects, one to a line, and ``path/rejected`` everything else as JSON text. Every
+    micro-batch has its own folder there, which a rerun replaces, and a row in ``path/counts`` with what it wrote.
+    """
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        if limit == 0:
-            return
-        kept = 0
-        if batch_id > 0:
-            # Earlier batches only: a rerun of this batch must not count its own first attempt.
-            archived = batch.sparkSession.read.format(fmt).schema(batch.schema).load(path)
-            kept = archived.filter(F.col(BATCH) < batch_id).count()
-        if kept < limit:
-            batch.limit(limit - kept).write.mode("overwrite").format(fmt).save(
-                f"{path}/{BATCH}={batch_id}"
-            )
-
-    return write
+        batch.persist()
+        try:
+            _write_records(batch, path, f"{BATCH}={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = values.select("value").writeStream.option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).foreachBatch(write).start()
+
 
+def _write_records(values: DataFrame, path: str, part: str) -> None:
+    good = is_one_object(F.col("value"))
+    counts = values.agg(
+        F.count_if(good).alias("archived"), F.count_if(~good).alias("rejected")
+    ).first()
+    if counts["archived"]:
+        # A line end inside a record is white space between its parts, or it would be no JSON.
+        line = F.regexp_replace("value", r"[\r\n]+", " ")
+        values.filter(good).select(line.alias("value")).write.mode("overwrite").text(f"{path}/{RECORDS}/{part}")
+    if counts["rejected"]:
+        bad = values.filter(~good).select("value")
+        bad.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{REJECTED}/{part}")
+    spark = values.sparkSession
+    spark.createDataFrame([tuple(counts)], "archived bigint, rejected bigint").coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{path}/{COUNTS}/{part}")
+
+
+def archived_counts(spark: SparkSession, path: str) -> dict[int, tuple[int, int]]:
+    """Archived and rejected records of every micro-batch so far."""
+    try:
+        counts = spark.read.parquet(f"{path}/{COUNTS}").collect()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return {}
+        raise
+    return {row[BATCH]: (row["archived"], row["rejected"]) for row in counts}
+
+
+def archive_first_records(values: DataFrame, path: str, n: int) -> tuple[int, int]:
+    """Replace the archive at ``path`` by the first ``n`` records of a table, from its beginning.
+
+    Keeps no checkpoint: what is beyond the limit stays where it is for the next run.
+    """
+    if n < 0:
+        raise ValueError("limit must not be negative")
+    spark = values.sparkSession
+    remove_table(spark, path)
+    # Numbered within each part of the input, so that no task takes all n rows.
+    staged = f"{path}/_staged"
+    numbered = values.select("value", F.monotonically_increasing_id().alias("id"))
+    numbered.write.parquet(staged)
+    rows = spark.read.schema("value string, id bigint").parquet(staged)
+    part, place = F.shiftrightunsigned("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    parts = rows.groupBy(part.alias("part")).count().orderBy("part").collect()
+    last, seen = -1, 0
+    for row in parts:
+        if seen + row["count"] > n:
+            break
+        last, seen = row["part"], seen + row["count"]
+    following = next((row["part"] for row in parts if row["part"] > last), -1)
+    chosen = rows.filter((part <= last) | ((part == following) & (place < n - seen)))
+    _write_records(chosen.select("value"), path, f"{BATCH}=0")
+    remove_table(spark, staged)
+    return archived_counts(spark, path)[0]

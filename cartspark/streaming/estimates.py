@@ -24,14 +24,21 @@ def stream_batch_estimates(
     """One estimate row per micro-batch, written to ``path``.
 
     ``records`` are events or decoded records. ``dead_letters`` is a folder for the records that could not be
-    decoded.
+    decoded; plain events have none. A micro-batch is read and decoded once for both.
     """
+    apart = dead_letters is not None and "failure_reason" in records.columns
 
     def write_estimate(batch: DataFrame, batch_id: int) -> None:
-        estimate = micro_batch_estimate(batch, threshold=threshold)
-        estimate.coalesce(1).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-        if dead_letters is not None:
-            failed_records(batch).write.mode("overwrite").json(f"{dead_letters}/{BATCH}={batch_id}")
+        if apart:
+            batch.persist()
+        try:
+            estimate = micro_batch_estimate(batch, threshold=threshold)
+            estimate.coalesce(1).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+            if apart:
+                failed_records(batch).write.mode("overwrite").json(f"{dead_letters}/{BATCH}={batch_id}")
+        finally:
+            if apart:
+                batch.unpersist()
 
     writer = records.writeStream.option("checkpointLocation", checkpoint)
     if drain:

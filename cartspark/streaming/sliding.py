@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cartspark.functions import event_time
 from cartspark.functions.expressions import ALERT_THRESHOLD
 from cartspark.operators.windows import cart_groups, windows_from_groups
+from cartspark.session import use_disk_state
 from cartspark.streaming.archive import BATCH
 
 
@@ -43,10 +44,12 @@ def stream_sliding_windows(
 
     def write_closed(closed: DataFrame, batch_id: int) -> None:
         # Each micro-batch has its own folder, so a rerun after a failure replaces it.
-        windows_from_groups(closed, width_minutes, threshold).write.mode("overwrite").parquet(
-            f"{path}/{BATCH}={batch_id}"
-        )
+        if not closed.isEmpty():
+            windows_from_groups(closed, width_minutes, threshold).write.mode("overwrite").parquet(
+                f"{path}/{BATCH}={batch_id}"
+            )
 
+    use_disk_state(events.sparkSession)
     writer = groups.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if drain:
         writer = writer.trigger(availableNow=True)

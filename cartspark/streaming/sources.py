@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from cartspark.sources.events import EVENT_SCHEMA, TEXT_SCHEMA, conform_events
 
@@ -44,6 +43,23 @@ def stream_values(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return topic.select(F.col("key").cast("string"), F.col("value").cast("string"))
 
 
-def records_read(query: StreamingQuery) -> int:
-    """Number of input records the finished runs of a query took in."""
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+def record_values(
+    spark: SparkSession, path: str, fmt: str = "json", max_files: int | None = None, *, stream: bool = True
+) -> DataFrame:
+    """The records of a folder of files as text in a column ``value``, as a stream or as a table.
+
+    Lines of JSON come as they are. Rows of csv, parquet and orc files become JSON objects of all their columns, nulls
+    included.
+    """
+    reader = spark.readStream if stream else spark.read
+    if stream and max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if fmt == "json":
+        return reader.text(path)
+    if fmt == "csv":
+        schema = spark.read.option("header", True).csv(path).schema
+        reader = reader.option("header", True).option("enforceSchema", False)
+    else:
+        schema = spark.read.format(fmt).load(path).schema
+    rows = reader.format(fmt).schema(schema).load(path)
+    return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))

@@ -10,9 +10,9 @@ LOG = "/root/testdata/sf0.001/events.parquet"
 
 @pytest.fixture
 def inputs(spark):
-    def build(rate=69.896, top=((461686, 151), (312728, 108)), ids="[]", window=True):
+    def build(rate=71.238, top=((1041, 33), (2077, 21)), ids="[]", window=True):
         summary = spark.createDataFrame(
-            [(2756101, 2664312, 69332, 22457, 1407580, 235061, 62025, 43353, rate)], SUMMARY_SCHEMA
+            [(90210, 83780, 5120, 1310, 7001, 812, 4400, 3135, rate)], SUMMARY_SCHEMA
         )
         products = spark.createDataFrame(list(top), TOP_SCHEMA)
         windows = spark.sql(
@@ -28,12 +28,12 @@ def inputs(spark):
 
 def test_view_and_sentence(inputs):
     view = ops.serving_view(*inputs()).collect()
-    assert [tuple(row) for row in view] == [(69.896, 0.0, "NORMAL", 69332, 22457, 461686, "")]
+    assert [tuple(row) for row in view] == [(71.238, 0.0, "NORMAL", 5120, 1310, 1041, "")]
     alert = ops.alert_summary(*inputs()).collect()[0]
     assert str(alert["generated_from_window_end"]) == "2015-06-04 06:00:00"
     assert alert["report_summary"] == (
-        "Historical abandonment was 69.90%. The latest 2015-06-04 05:55:00 to 2015-06-04 06:00:00 window was "
-        "0.00% (NORMAL). Top historical abandoned item: 461686; recent top abandoned item: not available."
+        "Historical abandonment was 71.24%. The latest 2015-06-04 05:55:00 to 2015-06-04 06:00:00 window was "
+        "0.00% (NORMAL). Top historical abandoned item: 1041; recent top abandoned item: not available."
     )
 
 
@@ -50,7 +50,7 @@ def test_sentence_rounds_half_even(inputs):
 def test_no_window_and_no_product(inputs):
     parts = inputs(top=(), window=False)
     view = ops.serving_view(*parts).collect()
-    assert [tuple(row) for row in view] == [(69.896, None, None, 69332, 22457, None, "")]
+    assert [tuple(row) for row in view] == [(71.238, None, None, 5120, 1310, None, "")]
     alert = ops.alert_summary(*parts).first()
     assert alert["generated_from_window_end"] is None
     assert "No recent window is available." in alert["report_summary"]

@@ -53,16 +53,61 @@ def test_decoding(spark):
         encode(b"\xff\xfe"): "bad utf-8",
         "abc": "bad base64",
         encode(GOOD).rstrip("="): "bad base64",
+        encode(b'{"event":"view"} xyz'): "bad json",
+        encode(b'{"event":"view"}{"event":"view"}'): "bad json",
+        encode(b'{"event":"view"},{"event":"view"}'): "bad json",
+        encode(b'{"event":"view","event":"addtocart"}'): None,
+        encode(b'{"event":"view","itemid":NaN}'): None,
+        encode(GOOD)[:8] + "\u00e9" + encode(GOOD)[8:]: "bad base64",
+        encode(GOOD) + "==": None,
+        encode(GOOD) + "later": None,
+        "=" + encode(GOOD): None,
+        "=" + encode({"a": 1}).rstrip("="): "bad base64" if encode({"a": 1}).endswith("=") else None,
+        "ab=c=": "bad utf-8",
         None: "no data",
         KeyError: "no data",
     }
     decoded = st.decode_envelope(envelope(spark, *cases)).collect()
     assert [row["failure_reason"] for row in decoded] == list(cases.values())
-    assert tuple(decoded[0])[1:-1] == (11, 2, ADD, 3, None)
+    assert tuple(decoded[0])[2:-1] == (11, 2, ADD, 3, None)
     assert decoded[1]["transactionid"] == 117
     assert decoded[3]["itemid"] == 4
 
 
+def reference_base64(text):
+    """What a lenient reader makes of a text."""
+    try:
+        return base64.b64decode(text)
+    except ValueError:
+        return None
+
+
+def test_base64_is_read_as_a_lenient_reader_does(spark):
+    import itertools
+
+    texts = ["".join(t) for n in range(7) for t in itertools.product("Q=", repeat=n)] + ["Q Q\n=%=", "QQ\u00e9=="]
+    frame = spark.createDataFrame([(t,) for t in texts], "data string")
+    got = {r["data"]: r["failure_reason"] == "bad base64" for r in st.decode_records(frame).collect()}
+    assert got == {t: reference_base64(t) is None for t in texts}
+
+
+def test_empty_envelopes_have_an_estimate(spark):
+    frame = spark.createDataFrame([(1, []), (2, None), (3, [{"kinesis": {"data": encode(GOOD)}}])], T.StructType().add("id", T.LongType()).add(ENVELOPE.fields[0]))
+    decoded = st.decode_envelope(frame, keep=("id",))
+    got = ops.micro_batch_estimate(decoded, by=("id",)).orderBy("id").collect()
+    assert [(r["id"], r["processed_record_count"], r["failed_record_count"]) for r in got] == [(1, 0, 0), (2, 0, 0), (3, 1, 0)]
+    assert st.good_events(decoded).count() == 1 and st.failed_records(decoded).count() == 0
+
+
+def test_dead_letters_of_plain_events(spark, events, folder):
+    events((1, 2, ADD, 3)).write.json(f"{folder}/in")
+    stream = st.stream_events(spark, f"{folder}/in")
+    st.stream_batch_estimates(
+        stream, f"{folder}/out", f"{folder}/checkpoint", dead_letters=f"{folder}/dead"
+    ).awaitTermination()
+    assert st.read_estimates(spark, f"{folder}/out").first()["processed_record_count"] == 1
+
+
 def test_good_records_and_dead_letters(spark):
     decoded = st.decode_envelope(envelope(spark, encode(GOOD), "abc"))
     assert rows(st.good_events(decoded)) == [(11, 2, ADD, 3, None)]
@@ -128,32 +173,78 @@ def write_files(table, folder, parts):
     return f"{folder}/in/*"
 
 
+def lines(spark, path):
+    return sorted(row["value"] for row in spark.read.text(path).collect())
+
+
 def test_archive_holds_every_record_once(spark, folder):
     events = canonical_events(spark.read.parquet(LOG))
     events.repartition(3).write.json(f"{folder}/in")
     source, out, checkpoint = f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint"
-    assert plans.archive(spark, source, out, checkpoint, max_files=1) == 1000
-    assert rows(read_events(spark, out, "json")) == rows(events)
+    assert plans.archive(spark, source, out, checkpoint, max_files=1) == (1000, 0)
+    assert lines(spark, f"{out}/records") == lines(spark, source)
+    assert rows(read_events(spark, f"{out}/records", "json")) == rows(events)
     # A second run finds nothing new; new files are added to the archive.
-    assert plans.archive(spark, source, out, checkpoint) == 0
+    assert plans.archive(spark, source, out, checkpoint) == (0, 0)
     events.limit(10).coalesce(1).write.mode("append").json(source)
-    assert plans.archive(spark, source, out, checkpoint) == 10
-    assert read_events(spark, out, "json").count() == 1010
+    assert plans.archive(spark, source, out, checkpoint) == (10, 0)
+    assert read_events(spark, f"{out}/records", "json").count() == 1010
+
+
+def test_archive_counts_every_micro_batch(spark, folder):
+    import os
+
+    os.mkdir(f"{folder}/in")
+    for index in range(130):
+        with open(f"{folder}/in/{index}.json", "w") as out:
+            out.write('{"event":"view","itemid":%d}\n' % index)
+    archived = plans.archive(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", max_files=1)
+    assert archived == (130, 0)
+
+
+def test_archive_keeps_records_as_they_came(spark, folder):
+    import os
+
+    os.mkdir(f"{folder}/in")
+    good = ['{"event":"view","extra":[1, 2],"itemid":null}', '{ "timestamp":1.0,"timestamp":2 }', '{"a":"é"}']
+    bad = ["not json", "[1]", '{"open":', "5"]
+    with open(f"{folder}/in/a.json", "w") as out:
+        out.write("\n".join(good + bad) + "\n")
+    assert plans.archive(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint") == (3, 4)
+    assert lines(spark, f"{folder}/out/records") == sorted(good)
+    rejected = spark.read.json(f"{folder}/out/rejected")
+    assert sorted(row["value"] for row in rejected.collect()) == sorted(bad)
 
 
 @pytest.mark.parametrize("limit", [0, 1, 450, 5000])
-def test_archive_limit_spans_micro_batches(spark, folder, limit):
+def test_limited_archive_starts_from_the_first_record(spark, folder, limit):
     events = canonical_events(spark.read.parquet(LOG))
     events.repartition(4).write.json(f"{folder}/in")
-    plans.archive(
-        spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", limit=limit, max_files=1
-    )
+    for n in (3, limit):
+        archived = plans.archive(spark, f"{folder}/in", f"{folder}/out", limit=n)
+        assert archived == (min(n, 1000), 0)
     if limit:
-        kept = read_events(spark, f"{folder}/out", "json")
+        kept = read_events(spark, f"{folder}/out/records", "json")
         assert kept.count() == min(limit, 1000)
         assert kept.exceptAll(events).isEmpty()
 
 
+def test_limit_and_checkpoint_exclude_each_other(spark, folder):
+    with pytest.raises(ValueError, match="checkpoint"):
+        plans.archive(spark, folder, f"{folder}/out", f"{folder}/checkpoint", limit=3)
+    with pytest.raises(ValueError, match="checkpoint"):
+        plans.archive(spark, folder, f"{folder}/out")
+
+
+def test_text_of_a_stream_becomes_events(spark, events, folder):
+    table = events((1, 2, ADD, 3), (4, 5, BUY, 6, 7), (None, None, "view", None))
+    plans.publish(table).select("value").write.text(f"{folder}/in")
+    values = st.record_values(spark, f"{folder}/in")
+    decoded = st.good_events(st.decode_values(values))
+    st.archive_stream(decoded, f"{folder}/out", f"{folder}/checkpoint", "parquet").awaitTermination()
+    assert rows(spark.read.parquet(f"{folder}/out")) == rows(table)
+
+
 def test_archive_by_date_is_pruned(spark, folder):
     events = canonical_events(spark.read.parquet(LOG))
     events.write.json(f"{folder}/in")
@@ -259,5 +350,6 @@ def test_archive_feeds_the_batch_job(spark, folder):
     events = canonical_events(spark.read.parquet(LOG))
     events.write.parquet(f"{folder}/in")
     plans.archive(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", "parquet")
-    tables = plans.batch_report(spark, read_events(spark, f"{folder}/out", "json"), f"{folder}/results")
+    archived = read_events(spark, f"{folder}/out/records", "json")
+    tables = plans.batch_report(spark, archived, f"{folder}/results")
     assert tables["batch_summary"].first()["overall_cart_abandonment_rate"] == 93.5644

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cartspark import operators as ops
 from cartspark.functions import event_time
+from cartspark.plans.catalogue import QUERIES
 from tests.conftest import MINUTE
 
 ADD, BUY = "addtocart", "transaction"
@@ -199,3 +200,26 @@ def test_the_number_of_partitions_does_not_matter(spark, events, partitions):
         assert collected(ops.sliding_windows(events(*rows), 5)) == brute_force(rows, 5)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize(("n", "width", "slide"), [(1, 5, 1), (4, 5, 1), (10, 60, 1), (3, 30, 10), (500, 5, 1)])
+@pytest.mark.parametrize("last", [0, 1])
+def test_last_windows_equal_the_end_of_all_windows(events, n, width, slide, last):
+    # A gap before the end, and a last event on a minute or just behind one.
+    rows = random_events(5, 200, 90, 3, 6) + [(170 * MINUTE, 1, ADD, 1), (300 * MINUTE + last, 2, ADD, 2)]
+    table = events(*rows)
+    all_ = collected(ops.sliding_windows(table, width, slide))
+    want = {start: all_[start] for start in sorted(all_)[-n:]}
+    assert collected(ops.last_windows(table, n, width, slide)) == want
+
+
+def test_last_windows_without_events(events):
+    assert collected(ops.last_windows(events(), 3)) == {}
+    assert collected(ops.last_windows(events((None, 1, ADD, 1)), 3)) == {}
+
+
+def test_last_windows_filter_the_scan(spark):
+    plan = QUERIES["latest_window"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert plan.count("PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts") + plan.count(
+        "IsNotNull(event_type), IsNotNull(ts)"
+    ) + plan.count("GreaterThanOrEqual(ts,") >= 2
