@@ -23,6 +23,7 @@ from cartspark.operators.windows import (
     recent_windows,
     sliding_windows,
     windows_from_groups,
+    windows_from_panes,
 )
 
 __all__ = [
@@ -49,4 +50,5 @@ __all__ = [
     "sliding_windows",
     "top_abandoned_products",
     "windows_from_groups",
+    "windows_from_panes",
 ]

@@ -50,12 +50,43 @@ def sliding_windows(
     span = _panes_per_window(width_minutes, slide_minutes)
     pane_ms = slide_minutes * MINUTE_MS
     carts = _cart_panes(events if cart_events is None else cart_events, pane_ms)
+    totals = _window_totals(events, span, pane_ms, bounds)
+    return _joined_windows(totals, carts, span, pane_ms, threshold)
+
+
+def _joined_windows(
+    totals: DataFrame, carts: DataFrame, span: int, pane_ms: int, threshold: float
+) -> DataFrame:
     pairs = _summarise_items(_items_per_window(_window_runs(carts, span)), PAIR_COUNTS)
     # Both sides are already partitioned by start, so joining them in place costs no shuffle and no broadcast.
-    windows = _window_totals(events, span, pane_ms, bounds).join(
-        pairs.hint("shuffle_hash"), "start", "left"
+    windows = totals.join(pairs.hint("shuffle_hash"), "start", "left")
+    return _window_rows(windows, F.col("start") * pane_ms, span * pane_ms, threshold)
+
+
+def windows_from_panes(
+    panes: DataFrame,
+    bounds: tuple[int, int],
+    width_minutes: int,
+    slide_minutes: int = 1,
+    threshold: float = ALERT_THRESHOLD,
+) -> DataFrame:
+    """The windows within ``bounds`` (first start and last end, counted in slides) from events reduced to panes.
+
+    ``panes`` has pane, visitorid, itemid and the event counts, once for each pane and pair; events other than adds and
+    purchases have no pair. All panes of the windows must be there.
+    """
+    span = _panes_per_window(width_minutes, slide_minutes)
+    added, bought = F.col("addtocart_count") > 0, F.col("transaction_count") > 0
+    carts = panes.filter(added | bought).select(
+        "visitorid",
+        "itemid",
+        "pane",
+        F.when(added, F.col("pane")).alias("add_pane"),
+        F.when(bought, F.col("pane")).alias("buy_pane"),
     )
-    return _window_rows(windows, F.col("start") * pane_ms, width_minutes, threshold)
+    counts = panes.groupBy("pane").agg(*(F.sum(name).alias(name) for name in EVENT_COUNTS))
+    totals = _spread(counts, span, F.lit(bounds[0]), F.lit(bounds[1]))
+    return _joined_windows(totals, carts, span, slide_minutes * MINUTE_MS, threshold)
 
 
 def _panes_per_window(width_minutes: int, slide_minutes: int) -> int:
@@ -123,10 +154,15 @@ def _window_totals(
         ).scalar()
     else:
         bounds = F.struct(F.lit(known[0]).alias("first_start"), F.lit(known[1]).alias("last_end"))
+    return _spread(panes, span, bounds["first_start"], bounds["last_end"])
+
+
+def _spread(panes: DataFrame, span: int, first_start: Column, last_end: Column) -> DataFrame:
+    """Counts of panes summed over the windows that hold them."""
     return (
         panes.selectExpr(f"explode(sequence(pane - {span - 1}, pane)) AS start", *EVENT_COUNTS)
-        .filter(F.col("start") >= bounds["first_start"])
-        .filter(F.col("start") + span <= bounds["last_end"])
+        .filter(F.col("start") >= first_start)
+        .filter(F.col("start") + span <= last_end)
         .groupBy("start")
         .agg(*(F.sum(name).alias(name) for name in EVENT_COUNTS))
     )
@@ -251,13 +287,13 @@ def _summarise_items(items: DataFrame, counts: tuple[str, ...]) -> DataFrame:
 
 
 def _window_rows(
-    windows: DataFrame, start_ms: Column, width_minutes: int, threshold: float
+    windows: DataFrame, start_ms: Column, width_ms: int, threshold: float
 ) -> DataFrame:
     abandoned = F.coalesce(F.col("estimated_abandoned_count"), F.lit(0))
     rate = percent(abandoned, F.col("pair_count"))
     return windows.select(
         F.timestamp_millis(start_ms).alias("window_start"),
-        F.timestamp_millis(start_ms + width_minutes * MINUTE_MS).alias("window_end"),
+        F.timestamp_millis(start_ms + width_ms).alias("window_end"),
         *EVENT_COUNTS,
         abandoned.alias("estimated_abandoned_count"),
         round_half_even(rate, 4).alias("estimated_abandonment_rate"),
@@ -299,7 +335,7 @@ def windows_from_groups(
         F.count_if(added & (F.col("transaction_count") == 0)).alias("estimated_abandoned_count"),
     )
     windows = _summarise_items(items, EVENT_COUNTS + PAIR_COUNTS)
-    return _window_rows(windows, F.col("start"), width_minutes, threshold)
+    return _window_rows(windows, F.col("start"), width_minutes * MINUTE_MS, threshold)
 
 
 def latest_window(windows: DataFrame) -> DataFrame:

@@ -1,22 +1,29 @@
 """Sliding windows over a stream.
 
-The state is one row per open window and pair that was added or bought in it, plus one row per open window for
-all other events. When the watermark passes the end of a window, all its rows leave the state in the same
-micro-batch, so the ranking of its items can be done there with the batch operators.
+The state is one row per open pane (as long as the slide) and pair that was added or bought in it, plus one row per open
+pane for all other events, whatever the width of the windows. When the watermark passes the end of a pane, its rows
+leave the state and are stored. The windows that have closed since the last micro-batch are then made from stored panes
+with the batch operators.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartspark.functions import event_time
-from cartspark.functions.expressions import ALERT_THRESHOLD
-from cartspark.operators.windows import cart_groups, windows_from_groups
+from cartspark.functions.expressions import ALERT_THRESHOLD, MINUTE_MS
+from cartspark.operators.windows import EVENT_COUNTS, cart_groups, windows_from_panes
 from cartspark.session import use_disk_state
 from cartspark.streaming.archive import BATCH
 
+# Parts of the output folder.
+PANES, CLOSED, WINDOWS = "panes", "closed", "windows"
+
 
 def stream_sliding_windows(
     events: DataFrame,
@@ -29,32 +36,101 @@ def stream_sliding_windows(
     *,
     drain: bool = True,
 ) -> StreamingQuery:
-    """Write the rows of every closed window to ``path`` and return the running query.
+    """Write the rows of every closed window below ``path`` and return the query.
 
     A window is closed once an event at least ``watermark`` later than its end was seen; events that come
     later than that are dropped and counted in the progress of the query. A stream has no first or last event,
-    so windows that began before the first event are included. ``drain`` stops when the input is used up.
+    so windows that began before the first event are included. With ``drain`` the input is used up, and all windows
+    that it closes are written, when the function returns; a running query writes a window one micro-batch after the
+    one that closed it.
     """
+    spark, pane_ms = events.sparkSession, slide_minutes * MINUTE_MS
     timed = (
         events.withColumn("event_time", event_time(F.col("timestamp")))
         .filter(F.col("event_time").isNotNull())
         .withWatermark("event_time", watermark)
     )
-    groups = cart_groups(timed, width_minutes, slide_minutes)
+    groups = cart_groups(timed, slide_minutes, slide_minutes).select(
+        F.floor(F.unix_millis("window.start") / pane_ms).alias("pane"), "visitorid", "itemid", *EVENT_COUNTS
+    )
+    running: list[StreamingQuery] = []
 
     def write_closed(closed: DataFrame, batch_id: int) -> None:
-        # Each micro-batch has its own folder, so a rerun after a failure replaces it.
+        # Each micro-batch has its own folders, so a rerun after a failure replaces them.
         if not closed.isEmpty():
-            windows_from_groups(closed, width_minutes, threshold).write.mode("overwrite").parquet(
-                f"{path}/{BATCH}={batch_id}"
-            )
+            closed.write.mode("overwrite").parquet(f"{path}/{PANES}/{BATCH}={batch_id}")
+        if running:
+            _write_windows(closed.sparkSession, path, batch_id, "batch", _watermark(running[0]), width_minutes, pane_ms, threshold)
 
-    use_disk_state(events.sparkSession)
+    use_disk_state(spark)
     writer = groups.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-    if drain:
-        writer = writer.trigger(availableNow=True)
-    return writer.foreachBatch(write_closed).start()
+    if not drain:
+        query = writer.foreachBatch(write_closed).start()
+        running.append(query)
+        return query
+    query = writer.trigger(availableNow=True).foreachBatch(write_closed).start()
+    query.awaitTermination()
+    last = query.lastProgress
+    if last is not None:
+        _write_windows(spark, path, last["batchId"], "end", _watermark(query), width_minutes, pane_ms, threshold)
+    return query
+
+
+def _watermark(query: StreamingQuery) -> int | None:
+    """Epoch milliseconds up to which the query has closed its panes."""
+    last = query.lastProgress
+    text = (last["eventTime"] or {}).get("watermark") if last is not None else None
+    if text is None:
+        return None
+    moment = datetime.fromisoformat(text.replace("Z", "+00:00")).astimezone(timezone.utc)
+    return int(moment.timestamp() * 1000)
+
+
+def _write_windows(
+    spark: SparkSession, path: str, batch_id: int, step: str, watermark: int | None, width_minutes: int, pane_ms: int, threshold: float
+) -> None:
+    """Write the windows that ended after the last closing time and by this one.
+
+    The closing times are a table too: a rerun of a micro-batch goes by those of earlier ones.
+    """
+    if watermark is None:
+        return
+    earlier = [
+        row["closed"] for row in _closing_times(spark, path) if (row[BATCH], row["step"]) < (batch_id, step)
+    ]
+    before, now = max(earlier, default=None), watermark // pane_ms
+    panes = _stored_panes(spark, path)
+    if panes is None or (before is not None and now <= before):
+        return
+    span = width_minutes * MINUTE_MS // pane_ms
+    if before is None:
+        first = panes.agg(F.min("pane")).first()[0] - span + 1
+    else:
+        first = before - span + 1
+    part = panes.filter((F.col("pane") >= first) & (F.col("pane") < now))
+    rows = windows_from_panes(part, (first, now), width_minutes, pane_ms // MINUTE_MS, threshold)
+    rows.write.mode("overwrite").parquet(f"{path}/{WINDOWS}/{BATCH}={batch_id}/step={step}")
+    closing = spark.createDataFrame([(batch_id, step, now)], f"{BATCH} bigint, step string, closed bigint")
+    closing.coalesce(1).write.mode("overwrite").parquet(f"{path}/{CLOSED}/part={batch_id}-{step}")
+
+
+def _closing_times(spark: SparkSession, path: str) -> list:
+    found = _table(spark, f"{path}/{CLOSED}")
+    return [] if found is None else found.collect()
+
+
+def _stored_panes(spark: SparkSession, path: str) -> DataFrame | None:
+    return _table(spark, f"{path}/{PANES}")
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
 
 
 def read_stream_windows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BATCH)
+    return spark.read.parquet(f"{path}/{WINDOWS}").drop(BATCH, "step")

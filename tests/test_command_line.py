@@ -26,7 +26,7 @@ def test_all_jobs(spark, folder, capsys, monkeypatch):
     assert "records sent: 7, without a key: 0" in shown
     assert spark.read.json(f"{folder}/sent").count() == 7
     assert spark.read.json(f"{folder}/archive/records").count() == 1000
-    assert spark.read.parquet(f"{folder}/closed").count() > 0
+    assert spark.read.parquet(f"{folder}/closed/windows").count() > 0
     assert spark.read.parquet(f"{folder}/estimates").count() > 0
     # Nothing of the jobs' own is left.
     assert not [name for name in os.listdir(results) if name.startswith("_")]

@@ -286,6 +286,19 @@ def test_stream_windows_equal_brute_force(spark, events, folder):
     assert got == closed
 
 
+def test_wide_stream_windows_over_several_runs(spark, events, folder):
+    history = random_events(22, 300, 150, 3, 8)
+    for index, (low, high) in enumerate([(0, 50 * MINUTE - 1), (50 * MINUTE, 100 * MINUTE), (100 * MINUTE + 1, 150 * MINUTE)]):
+        part = events(*[row for row in history if low <= row[0] <= high])
+        part.coalesce(1).write.json(f"{folder}/in/part={index}")
+        stream = st.stream_events(spark, f"{folder}/in/*", max_files=1)
+        st.stream_sliding_windows(stream, f"{folder}/out", f"{folder}/checkpoint", 60, 5).awaitTermination()
+    last = max(row[0] for row in history)
+    got = collected(st.read_stream_windows(spark, f"{folder}/out"))
+    expected = brute_force(history, 60, 5, bounded=False)
+    assert got == {s: row for s, row in expected.items() if row[0] <= last - 10 * MINUTE}
+
+
 def test_a_row_later_than_the_watermark_is_in_no_window(spark, events, folder):
     on_time = [(i * MINUTE, 1, ADD, 1) for i in range(0, 60, 10)]
     spark_rows = events(*on_time)
