@@ -63,9 +63,16 @@ FROM embeddings e LEFT JOIN counted c ON e.vec_id = c.a LEFT JOIN least_of l ON
 
 OP3 = """
 WITH docs AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+pieces_of AS (
+    SELECT doc_id, 256 * b AS base, substr(h, 512 * b + 1, 610) AS piece
+    FROM (SELECT doc_id, h, unnest(range(0, CAST(len(h) // 512 AS BIGINT) + 1)) AS b FROM docs)
+),
 windows AS (
-    SELECT doc_id, s, substr(h, 2 * s + 1, 100) AS w
-    FROM (SELECT doc_id, h, unnest(range(0, CAST(len(h) / 2 AS BIGINT) - 49)) AS s FROM docs WHERE len(h) >= 100)
+    SELECT doc_id, base + r AS s, substr(piece, 2 * r + 1, 100) AS w
+    FROM (
+        SELECT *, unnest(range(0, least(256, CAST(len(piece) // 2 AS BIGINT) - 49))) AS r
+        FROM pieces_of WHERE len(piece) >= 100
+    )
 ),
 firsts AS (SELECT w, min(doc_id) AS least_id FROM windows GROUP BY w HAVING count(*) > 1),
 gone AS (SELECT x.doc_id, s FROM windows x JOIN firsts f ON x.w = f.w AND x.doc_id > f.least_id),
