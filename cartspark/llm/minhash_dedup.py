@@ -5,14 +5,16 @@ differ. A sketch keeps the few items of smallest hash in the order of the text;
 these items in this order, which follows edit similarity. Documents that agree on a sketch are candidates. Their item
 sequences are then aligned within a band, and they are linked if the aligned items are 80 % or more of all items of both.
 
-Documents with the same words are one class from the start. In a group that agrees on a sketch every member meets a few
-centres of the group, never every other member.
+Documents with the same words are one class from the start. In a group that agrees on a sketch every member first meets a few
+centres of the group; what these have linked need not be compared again. Then every pair of the group that no link
+connects yet is aligned, so that the classes are those of all candidates.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,11 @@ SKETCHES = 20
 ITEMS = 3
 # Times that members which met a centre in vain are gathered anew around another one.
 ROUNDS = 3
+# Groups of at most so many are compared pair by pair, larger ones in blocks: about so many members on either side, with
+# the square of that as items, and so many of their common items at a time.
+PAIRED = 32
+BLOCK = 1024
+BLOCK_ITEMS = 2048
 SEED = 3
 
 _PLACE_BITS = 24
@@ -183,6 +190,98 @@ def aligned(pairs: DataFrame, sequences: DataFrame, similarity: float) -> DataFr
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
 
 
+def open_groups(classes: DataFrame, components: DataFrame) -> DataFrame:
+    """Members of the groups that have more than one component, with their group's size, weight and largest component."""
+    group = ["sketch", "key"]
+    named = classes.join(components, F.col("doc_id") == F.col("node"), "left")
+    members = named.select("doc_id", "n_items", F.coalesce("component", "doc_id").alias("part"), F.posexplode("keys").alias(*group))
+    parts = members.groupBy(*group, "part").agg(F.count(F.lit(1)).alias("n"), F.sum("n_items").alias("weight"))
+    groups = parts.groupBy(*group).agg(
+        F.sum("n").alias("n"), F.sum("weight").alias("weight"), F.max(F.struct("n", "part")).alias("home"), F.count(F.lit(1)).alias("parts")
+    )
+    return members.join(groups.where("parts > 1").select(*group, "n", "weight", F.col("home.part").alias("home")), group)
+
+
+def open_pairs(held: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different components of a small group whose sizes allow the similarity."""
+    group = ["sketch", "key"]
+    x = held.select(*group, F.col("doc_id").alias("a"), F.col("n_items").alias("a_items"), F.col("part").alias("a_part"))
+    y = held.select(*group, F.col("doc_id").alias("b"), F.col("n_items").alias("b_items"), F.col("part").alias("b_part"))
+    met = x.join(y, group).where("a < b and a_part <> b_part")
+    return met.where(F.least("a_items", "b_items") >= similarity * F.greatest("a_items", "b_items")).select("a", "b").distinct()
+
+
+def block_links(left: list[tuple], right: list[tuple], least: float) -> Iterator[tuple[int, int]]:
+    """Links between two blocks of (doc_id, part, home, items) that join components; those joined are not compared again."""
+    ids, ids_b = (np.array([row[0] for row in side], np.int64) for side in (left, right))
+    parts, parts_b = (np.array([row[1] for row in side], np.int64) for side in (left, right))
+    n, n_b = (np.array([len(row[3]) for row in side]) for side in (left, right))
+    sides = [[np.unique(row[3]) for row in side] for side in (left, right)]
+    shared = np.intersect1d(*(np.concatenate(side) for side in sides))
+    found = []
+    for side in sides:
+        items, at = np.concatenate(side), np.repeat(np.arange(len(side)), [len(own) for own in side])
+        place = np.searchsorted(shared, items)
+        known = np.flatnonzero(shared[np.minimum(place, len(shared) - 1)] == items) if len(shared) else place[:0]
+        known = known[np.argsort(place[known], kind="stable")]
+        found.append((place[known], at[known]))
+    common = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, len(shared), BLOCK_ITEMS):
+        has = [np.zeros((len(side), BLOCK_ITEMS), np.float32) for side in sides]
+        for (place, at), out in zip(found, has, strict=True):
+            part = slice(*np.searchsorted(place, (first, first + BLOCK_ITEMS)))
+            out[at[part], place[part] - first] = 1
+        common += has[0] @ has[1].T
+    # Members of the home component stand on the right side only, of the others each pair is met twice.
+    once = (ids[:, None] < ids_b) | (parts_b == right[0][2])
+    fits = once & (parts[:, None] != parts_b) & (common >= least * (n[:, None] + n_b - common) - 0.001)
+    joined: dict[int, int] = {}
+
+    def root(part: int) -> int:
+        while part in joined:
+            part = joined[part]
+        return part
+
+    for i, j in np.argwhere(fits).tolist():
+        x, y = root(left[i][1]), root(right[j][1])
+        if x != y and aligned_similarity(left[i][3], right[j][3], least) >= least:
+            joined[max(x, y)] = min(x, y)
+            yield left[i][0], right[j][0]
+
+
+def links_in_blocks(held: DataFrame, sequences: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between components of large groups.
+
+    The largest component of a group is left out on one side, so that at most twice as many pairs are looked at as are in
+    different components. Either side is dealt over blocks of bounded size, and each pair of blocks is compared at once.
+    """
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("weight") / (BLOCK * BLOCK)))
+    own, other = F.pmod(F.xxhash64("doc_id"), blocks), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    row = ["doc_id", "part", "home"]
+    left = held.where("part <> home").select("sketch", "key", own.alias("i"), other.alias("j"), F.lit(0).alias("side"), *row)
+    right = held.select("sketch", "key", other.alias("i"), own.alias("j"), F.lit(1).alias("side"), *row)
+    keys = ["sketch", "key", "i", "j"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, sides = None, ([], [])
+
+        def links() -> Iterator[pa.RecordBatch]:
+            if all(sides) and (found := list(block_links(*sides, similarity))):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in (*keys, "side", *row)]
+            for *key, side, doc_id, part, home, items in zip(*columns, batch.column("items"), strict=True):
+                if key != current:
+                    yield from links()
+                    current, sides = key, ([], [])
+                sides[side].append((doc_id, part, home, np.frombuffer(items.as_py(), np.uint32)))
+        yield from links()
+
+    dealt = left.unionByName(right).join(sequences, "doc_id").select(*keys, "side", *row, "items")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(compare, "a long, b long")
+
+
 def near_duplicates(
     documents: DataFrame,
     similarity: float = SIMILARITY,
@@ -206,7 +305,7 @@ def near_duplicates(
     )
     group = ["sketch", "key"]
     pending = classes.select("doc_id", "n_items", F.posexplode("keys").alias(*group))
-    links, sequences = [], None
+    links, tested, sequences = [], [], None
     for number in range(rounds):
         centre = F.min(F.struct(F.xxhash64("doc_id", "sketch", F.lit(SEED + number)).alias("draw"), "doc_id", "n_items"))
         centres = pending.groupBy(*group).agg(F.count(F.lit(1)).alias("members"), centre.alias("c"))
@@ -226,15 +325,21 @@ def near_duplicates(
             sequences = stored(fetch_items(documents, ids, k), "sequences")
         linked = stored(aligned(pairs, sequences, similarity), "aligned")
         links.append(linked)
+        tested.append(pairs)
         if number + 1 < rounds:
             both = linked.unionByName(linked.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pending = met.join(
                 both, (met["doc_id"] == both["a"]) & (met["centre"] == both["b"]), "left_anti"
             ).select("doc_id", "n_items", *group)
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.unionByName(more)
-    components = connected_components(edges)
+    components = connected_components(reduce(DataFrame.unionByName, links))
+    held = stored(open_groups(classes, components), "open-groups")
+    pairs = open_pairs(held.where(F.col("n") <= PAIRED), similarity)
+    pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
+    large = links_in_blocks(held.where(F.col("n") > PAIRED), sequences, similarity)
+    more = stored(aligned(pairs, sequences, similarity).unionByName(large), "aligned")
+    # The components found stand for their links.
+    found = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    components = connected_components(found.unionByName(more))
     named = classes.select(*prints, F.col("doc_id").alias("rep")).join(
         components, F.col("rep") == F.col("node"), "left"
     ).select(*prints, F.coalesce("component", "rep").alias("class_id"))

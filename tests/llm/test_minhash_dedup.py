@@ -89,6 +89,21 @@ def test_large_group_of_near_copies(spark):
     assert {c for c, _ in classes(spark, documents).values()} == {701}
 
 
+def test_star_of_copies_against_all_pairs(spark):
+    rng = random.Random(8)
+    text = prose(rng, 400)
+    documents = [(500, " ".join(text))]
+    for i in range(150):
+        near = list(text)
+        for place in rng.sample(range(5, 395, 6), 8):
+            near[place] = f"w{i}"
+        documents.append((i, " ".join(near)))
+    grams = {i: set(zip(*(t.split()[s:] for s in range(5)), strict=False)) for i, t in documents}
+    near = {(a, b) for a in grams for b in grams if a < b and len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b])}
+    assert {(i, 500) for i in range(150)} <= near and len(near) < 200
+    assert classes(spark, documents) == {i: (0, i == 0) for i in grams}
+
+
 def test_defined_results_for_odd_rows(spark):
     documents = [(1, None), (2, ""), (3, "..."), (4, "Short Text"), (5, "short, text!"), (6, "short"), (None, "short text"), (7, None)]
     got = classes(spark, documents)
