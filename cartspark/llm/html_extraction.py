@@ -91,6 +91,7 @@ class Node:
     always: bool = True
     text: str = ""
     main: bool = False
+    groups: dict[str, Node] = field(default_factory=dict)
 
     @property
     def sign(self) -> str:
@@ -254,7 +255,7 @@ def region_of(node: Node) -> str:
 
 
 def mark(wrapper: Node) -> Node:
-    """Say of every slot of a wrapper whether it is main text."""
+    """Say of every slot of a wrapper whether it is main text, and join a node's groups of one label for main_text."""
     region = region_of(wrapper)
 
     def walk(node: Node, inside: bool) -> None:
@@ -264,26 +265,43 @@ def mark(wrapper: Node) -> Node:
             if child.label[0] != "!":
                 walk(child, inside)
 
+    def join(node: Node, parts: list[Node]) -> Node:
+        together: dict[str, list[Node]] = {}
+        for part in parts:
+            for child in part.children:
+                together.setdefault(child.label, []).append(child)
+        node.groups = {label: join(Node(label, main=same[0].main), same) for label, same in together.items()}
+        return node
+
     walk(wrapper, region == "page")
-    return wrapper
+    return join(wrapper, [wrapper])
+
+
+def fits(node: Node, pattern: Node) -> bool:
+    """Whether a marked wrapper has a group for every element and text of a page outside of what is dropped."""
+    return all(
+        child.label in pattern.groups and (child.label[0] == "!" or fits(child, pattern.groups[child.label]))
+        for child in node.children
+    )
 
 
 def main_text(page: str, wrapper: Node | None = None) -> str:
     """A page's texts at the main slots of its host's wrapper, blocks joined by line ends.
 
-    A page without the region that its host's wrapper has (an article, say) is a wrapper of its own.
+    A page without the region that its host's wrapper has (an article, say) is a wrapper of its own, and so is one with
+    an element that the wrapper does not have there. Groups of one label that others stand between are read as one: what
+    is main text is the same in all of them.
     """
     root = read_page(page)
     own = region_of(root)
-    if wrapper is None or region_of(wrapper) != own:
+    if wrapper is None or region_of(wrapper) != own or not fits(root, wrapper):
         wrapper = mark(structure(root))
     blocks: list[str] = []
 
     def walk(node: Node, pattern: Node) -> None:
-        groups = {group.label: group for group in reversed(pattern.children)}
         for child in node.children:
-            group = groups.get(child.label)
-            if group is None:
+            group = pattern.groups[child.label]
+            if child.label[0] == "!":
                 continue
             if child.label != "#":
                 walk(child, group)

@@ -40,6 +40,25 @@ def test_small_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<body><div>Logo</div><nav>n</nav><div><article><p>a</p></article></div></body>", "a"),
+        ("<article><div><p>a</p></div><h2>b</h2><div><ul><li>c</li></ul></div></article>", "a\nb\nc"),
+        ("<body><section><p>a</p></section><h2>b</h2><section>c<table><tr><td>d</table></section><h2>e</h2><section><h3>f</h3></section></body>", "a\nb\nc\nd\ne\nf"),
+        ("<body><div><div><p>a</p></div><p>b</p><div><ul><li>c</ul></div></div><p>d</p><div><div><h3>e</h3></div></div></body>", "a\nb\nc\nd\ne"),
+    ],
+)
+def test_unlike_siblings_of_one_label(spark, page, text):
+    assert main_text(page) == text
+    rows = [(1, "http://h/1", page), (2, "http://h/2", page.replace("<p>a</p>", "<p>a</p><nav>x</nav>")), (3, "http://h/3", "<body><div>z</div></body>")]
+    assert [extracted(spark, rows)[i] for i in (1, 2)] == [text, text]
+    wrappers = infer_wrappers(spark.createDataFrame([("h", page)], "host string, html string"))
+    longer = page.replace("<p>a</p>", "<p>a</p><blockquote>q</blockquote>")
+    got = extract_text(spark.createDataFrame([(1, "http://h/1", longer)], SCHEMA), wrappers).first().text
+    assert got == text.replace("a", "a\nq", 1)
+
+
 def test_wrapper_is_a_union_free_expression():
     one = structure(read_page("<body><h1>a</h1><p>b</p><p>c</p><ul><li>x</ul></body>"))
     two = structure(read_page("<body><h1>a</h1><div>z</div><p>b</p></body>"))
