@@ -104,9 +104,13 @@ class Encoder:
 
     def bundle(self, text: str) -> np.ndarray | None:
         """The sum of a text's n-gram vectors, in pieces of bounded size; None without a letter."""
+        return self.bundle_and_count(text)[0]
+
+    def bundle_and_count(self, text: str) -> tuple[np.ndarray | None, int]:
+        """The same, and the number of distinct n-grams."""
         codes = letters_of(text)
         if len(codes) < 2 or not (codes != _SPACE).any():
-            return None
+            return None, 0
         if len(codes) < self.order:
             codes = np.concatenate((codes, np.full(self.order - len(codes), _SPACE)))
         n = len(codes) - self.order + 1
@@ -118,7 +122,7 @@ class Encoder:
         for i in range(0, len(found), KEPT_VECTORS // 8):
             part = slice(i, i + KEPT_VECTORS // 8)
             total += counts[part].astype(np.float32) @ self.lookup(found[part]).astype(np.float32)
-        return total
+        return total, len(found)
 
 
 def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
@@ -191,22 +195,24 @@ def learn_prototypes(
     return Prototypes([row["lang"] for row in rows], vectors, dimensions, order, seed)
 
 
-def predict_language(documents: DataFrame, prototypes: Prototypes) -> DataFrame:
+def predict_language(documents: DataFrame, prototypes: Prototypes, count: str | None = None) -> DataFrame:
     """Adds lang_pred and score (the cosine, at least 0) to every row from its whole text alone.
 
     A null text, a text without a letter, or no prototype at all gives ``und`` and 0. Of two equal cosines the language
-    first in order wins. Columns named lang_pred and score are replaced.
+    first in order wins. Columns named lang_pred and score are replaced, and that named ``count``, if it is given: the
+    number of distinct n-grams that the score rests on.
     """
     sent = documents.sparkSession.sparkContext.broadcast(prototypes)
-    names = [c for c in documents.columns if c not in ("lang_pred", "score")]
+    names = [c for c in documents.columns if c not in ("lang_pred", "score", count)]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         encoder = Encoder(known.dimensions, known.order, known.seed)
         for batch in split_batches(batches, "text", 4 * CHUNK_BYTES):
-            languages, scores = [], []
+            languages, scores, counts = [], [], []
             for text in batch.column("text"):
-                vector = encoder.bundle(text.as_py()) if text.is_valid and known.languages else None
+                vector, n = encoder.bundle_and_count(text.as_py()) if text.is_valid and known.languages else (None, 0)
+                counts.append(n)
                 length = 0.0 if vector is None else float(np.linalg.norm(vector))
                 if not length:
                     languages.append(UNDETERMINED)
@@ -216,19 +222,17 @@ def predict_language(documents: DataFrame, prototypes: Prototypes) -> DataFrame:
                 best = int(np.argmax(np.round(cosines, 12)))
                 languages.append(known.languages[best])
                 scores.append(float(min(max(cosines[best], 0.0), 1.0)))
-            yield carried(
-                batch,
-                names,
-                {"lang_pred": pa.array(languages, pa.string()), "score": pa.array(scores, pa.float64())},
-            )
+            results = {"lang_pred": pa.array(languages, pa.string()), "score": pa.array(scores, pa.float64())}
+            yield carried(batch, names, results | ({count: pa.array(counts, pa.int64())} if count else {}))
 
     schema = ", ".join(
         [*(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in names), "lang_pred string", "score double"]
+        + ([f"`{count}` long"] if count else [])
     )
     return documents.select(*names).mapInArrow(predict, schema)
 
 
-def identify_languages(documents: DataFrame, **parameters) -> DataFrame:
+def identify_languages(documents: DataFrame, count: str | None = None, **parameters) -> DataFrame:
     """Learn from the rows that are not held out, then predict every row."""
     examples = documents.where(~held_out(F.col("doc_id")))
-    return predict_language(documents, learn_prototypes(examples, **parameters))
+    return predict_language(documents, learn_prototypes(examples, **parameters), count)

@@ -13,14 +13,17 @@ from cartspark.llm.mixing import mix_sources
 from cartspark.llm.suffix_dedup import remove_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-# A document whose cosine with every language is lower has no language.
+# A document whose cosine with every language is lower has no language, if it has so many distinct n-grams. The cosine
+# of clean text grows with about the root of that number; with fewer it can be as low as that of noise.
 LEAST_SCORE = 0.1
+ENOUGH_NGRAMS = 64
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a learned language; it becomes the lang of those that have none."""
-    judged = identify_languages(docs.select(*COLUMNS))
-    kept = judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    """Documents of a learned language, or too short to tell; it becomes the lang of those that have none."""
+    judged = identify_languages(docs.select(*COLUMNS), "n_grams")
+    known = (F.col("score") >= LEAST_SCORE) | (F.col("n_grams") < ENOUGH_NGRAMS)
+    kept = judged.where((F.col("lang_pred") != UNDETERMINED) & known)
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 

@@ -45,6 +45,18 @@ def test_language_stage(spark, folder):
     assert got[0].lang in ("xx", "yy") and all(got[i].lang == lang for i, _, lang, _, _ in rows[:150] if lang)
 
 
+def test_language_stage_keeps_short_documents(spark, folder):
+    rng = random.Random(9)
+    rows, short = documents(), []
+    for i in range(400):
+        lang, syllables = ("xx", "a e i o u k t m r l".split()) if i % 2 else ("yy", "sch ung eit ö z w b".split())
+        rows.append((1000 + i, prose(rng, syllables, 60), lang, "s", 1))
+        short.append((2000 + i, prose(rng, syllables, 1 + i % 3 // 2).capitalize() + ".", lang, "s", 1))
+    noise = "".join(chr(0x4E00 + rng.randrange(9000)) for _ in range(300))
+    got = kept(cp.language_id(spark, spark.createDataFrame([*rows, *short, (5000, noise, None, "s", 300)], SCHEMA), folder))
+    assert set(got) == {r[0] for r in rows + short} and all(got[i].lang == lang for i, _, lang, _, _ in short)
+
+
 def test_near_duplicate_stage(spark, folder):
     rows = documents()
     loud = lambda t: re.sub("[a-z]", lambda m: m.group().upper(), t)
