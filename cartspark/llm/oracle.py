@@ -142,10 +142,84 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
+# DuckDB has no crc32: the checksum's register takes the bits of the decimal digits one by one.
+def _crc32(digits: str) -> str:
+    bits = f"list_prepend(4294967295, flatten(list_transform(string_split({digits}, ''), lambda d: [ascii(d) >> k & 1 for k in range(8)])))"
+    return f"xor(list_reduce({bits}, lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295)"
+
+
+# A run repeats its first six words one period later, so equal groups of six words find every period.
+OP11 = rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS rid, doc_id, {_crc32("CAST(doc_id AS VARCHAR)")} AS h,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+placed AS (
+    SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a,
+        3 + (h // 10) % 8 AS parts FROM texts
+),
+docs AS (
+    SELECT rid, doc_id, CASE WHEN a IS NULL THEN w ELSE list_concat(w[1:a], list_transform(
+        range(a, n), lambda i: w[CAST(1 + a + (i - a) % (1 + (n - a) // parts) AS BIGINT)])) END AS w
+    FROM placed
+),
+grams AS (
+    SELECT rid, x, array_to_string(w[x + 1:x + 6], ' ') AS g
+    FROM (SELECT rid, w, unnest(range(0, len(w) - 5)) AS x FROM docs WHERE len(w) >= 6)
+),
+pairs AS (
+    SELECT a.rid, a.x, b.x - a.x AS p FROM grams a JOIN grams b ON a.rid = b.rid AND a.g = b.g AND a.x < b.x
+),
+stretches AS (
+    SELECT rid, p, min(x) AS start, max(x) + 6 + p - min(x) AS length
+    FROM (SELECT *, x - row_number() OVER (PARTITION BY rid, p ORDER BY x) AS island FROM pairs) GROUP BY rid, p, island
+),
+runs AS (
+    SELECT rid, start, length, min(p) AS period FROM stretches WHERE length >= greatest(12, 2 * p) GROUP BY rid, start, length
+),
+listed AS (
+    SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t
+    FROM runs GROUP BY rid
+),
+longest AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY length DESC, start, period) AS place FROM runs)
+    WHERE place = 1
+),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS x FROM runs),
+words AS (
+    SELECT rid, x, w[x + 1] AS word FROM (SELECT rid, w, unnest(range(0, len(w))) AS x FROM docs WHERE rid IN (SELECT rid FROM runs))
+),
+kept AS (
+    SELECT v.rid, string_agg(word, ' ' ORDER BY v.x) AS t
+    FROM words v LEFT JOIN gone g ON v.rid = g.rid AND v.x = g.x WHERE g.x IS NULL GROUP BY v.rid
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, m.start, m.length, m.period, 1000 * m.length // m.period AS exponent_milli,
+    sha256(coalesce(l.t, '')) AS runs_sha256, sha256(coalesce(k.t, array_to_string(w, ' '))) AS collapsed_sha256
+FROM docs d LEFT JOIN listed l ON d.rid = l.rid LEFT JOIN longest m ON d.rid = m.rid LEFT JOIN kept k ON d.rid = k.rid
+"""
+
+OP12 = """
+WITH vectors AS (
+    SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+),
+scored AS (
+    SELECT q.rid, q.vec_id AS query_id, c.vec_id, c.rid AS other, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.rid <> c.rid AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id, other) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
 ORACLE_SQL = {
     "op1_decontamination": OP1,
     "op2_embedding_dedup": OP2,
     "op3_suffix_dedup": OP3,
     "op8_url_filter": OP8,
     "op9_chat_format": OP9,
+    "op11_periodic_runs": OP11,
+    "op12_exact_topk": OP12,
 }

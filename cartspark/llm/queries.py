@@ -14,8 +14,10 @@ from cartspark.llm.html_extraction import extract_text
 from cartspark.llm.language_id import held_out, identify_languages
 from cartspark.llm.minhash_dedup import near_duplicates
 from cartspark.llm.mixing import mix_sources
+from cartspark.llm.periodic_runs import find_runs
 from cartspark.llm.suffix_dedup import remove_repeats
 from cartspark.llm.token_counts import count_tokens
+from cartspark.llm.top_products import top_products, usable
 from cartspark.llm.url_filter import filter_urls
 
 
@@ -96,6 +98,53 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def with_planted_periods(documents: DataFrame) -> DataFrame:
+    """Documents of which a tenth, chosen by a checksum of their id, repeat a few words from some place on."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = documents.withColumn("checksum", checksum).withColumn(
+        "words", F.when(F.col("checksum") % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")))
+    )
+    n, g = F.size("words"), F.floor(F.col("checksum") / 10)
+    placed = chosen.withColumn("n", n).withColumn("a", F.when(F.col("n") > 0, (g % F.col("n")).cast("int")))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int"))
+    repeated = F.flatten(
+        F.array_repeat(
+            F.slice("words", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+        )
+    )
+    changed = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(repeated, F.lit(1), F.col("n") - F.col("a")))
+    return placed.select(
+        "doc_id", F.when(F.col("a").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_runs(with_planted_periods(table(spark, folder, "documents").select("doc_id", "text")))
+    longest = F.array_max(
+        F.transform(
+            "runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))
+        )
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.s")).alias("start"),
+        F.col("longest.n").alias("length"),
+        (-F.col("longest.p")).alias("period"),
+        F.floor(F.col("longest.n") * 1000 / -F.col("longest.p")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector, in steps of 1/256."""
+    rows = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    whole = F.when(usable(F.col("vector")), F.transform("vector", lambda x: F.floor(x * 256)))
+    return top_products(rows.select("vec_id", whole.alias("vector")), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -107,4 +156,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_chat_format": op9_chat_format,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_exact_topk": op12_exact_topk,
 }
