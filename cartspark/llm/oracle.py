@@ -214,6 +214,43 @@ ranked AS (
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
 """
 
+OP13 = f"""
+WITH given AS (
+    SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+),
+numbered AS (
+    SELECT c, g, b, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, g) AS d
+    FROM (SELECT *, substr(sha256(length(role) || chr(10) || role || text), 1, 32) AS g, strlen(text) AS b FROM given)
+),
+convs AS (SELECT c, {_crc32("CAST(c AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT c FROM given)),
+rebuilt AS (
+    SELECT v.c, d, g, b FROM convs v JOIN numbered n ON n.c = v.c - v.c % 5 AND d <= h
+    UNION ALL SELECT v.c, d, g, b FROM convs v JOIN numbered n ON n.c = v.c AND d > h
+),
+turns AS (SELECT c, g, b, row_number() OVER (PARTITION BY c ORDER BY d) AS d FROM rebuilt),
+prefixes AS (
+    SELECT c, d, b, string_agg(g, '') OVER (PARTITION BY c ORDER BY d) AS x FROM turns
+    UNION ALL SELECT c, 0, 0, '' FROM convs
+),
+nodes AS (SELECT x, d, min(c) AS conv_id, count(*) AS n, any_value(b) AS b FROM prefixes GROUP BY x, d),
+children AS (SELECT left(x, len(x) - 32) AS x, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+below AS (
+    SELECT left(x, 32 * a) AS x, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (
+        SELECT v.x, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf, (n - 1) * b AS saved, unnest(range(0, d + 1)) AS a
+        FROM nodes v LEFT JOIN children k ON v.x = k.x
+    ) GROUP BY 1
+),
+ends AS (
+    SELECT x, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS sha
+    FROM (SELECT *, max(d) OVER (PARTITION BY c) AS last FROM prefixes) WHERE d = last GROUP BY x
+)
+SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n AS n_convs, coalesce(n_children, 0) AS n_children,
+    CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(sha, sha256('')) AS ends_sha256
+FROM nodes v LEFT JOIN nodes p ON v.d > 0 AND p.x = left(v.x, len(v.x) - 32) AND p.d = v.d - 1
+LEFT JOIN children k ON v.x = k.x LEFT JOIN below b ON v.x = b.x LEFT JOIN ends e ON v.x = e.x
+"""
+
 ORACLE_SQL = {
     "op1_decontamination": OP1,
     "op2_embedding_dedup": OP2,
@@ -222,4 +259,5 @@ ORACLE_SQL = {
     "op9_chat_format": OP9,
     "op11_periodic_runs": OP11,
     "op12_exact_topk": OP12,
+    "op13_prefix_trie": OP13,
 }

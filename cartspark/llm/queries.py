@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartspark.llm.chat_format import format_conversations, read_back
@@ -15,6 +15,7 @@ from cartspark.llm.language_id import held_out, identify_languages
 from cartspark.llm.minhash_dedup import near_duplicates
 from cartspark.llm.mixing import mix_sources
 from cartspark.llm.periodic_runs import find_runs
+from cartspark.llm.prefix_trie import prefix_trie, turn_digests
 from cartspark.llm.suffix_dedup import remove_repeats
 from cartspark.llm.token_counts import count_tokens
 from cartspark.llm.top_products import top_products, usable
@@ -145,6 +146,29 @@ def op12_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_products(rows.select("vec_id", whole.alias("vector")), F.col("vec_id") % 50 == 0)
 
 
+def with_shared_beginnings(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns of conversations that begin like another one, and the ids of all, for some are left without turns.
+
+    A checksum of its id says how many first turns a conversation takes from the one whose id is the multiple of five
+    before it, in place of as many of its own.
+    """
+    order = Window.partitionBy("conv_id").orderBy("turn", "digest")
+    numbered = turns.where("conv_id IS NOT NULL").withColumn("turn", F.row_number().over(order).cast("long"))
+    shared = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    ids = turns.where("conv_id IS NOT NULL").select("conv_id").distinct().withColumn("shared", shared)
+    of_base = ids.select("conv_id", "shared", (F.col("conv_id") - F.col("conv_id") % 5).alias("base"))
+    taken = of_base.join(
+        numbered.where("turn <= 8").withColumnRenamed("conv_id", "base"), "base"
+    ).where("turn <= shared").select("conv_id", "turn", "digest", "n_bytes")
+    own = numbered.where(F.col("turn") > shared).select("conv_id", "turn", "digest", "n_bytes")
+    return taken.unionByName(own), ids.select("conv_id")
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = turn_digests(table(spark, folder, "conversations"))
+    return prefix_trie(*with_shared_beginnings(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -158,4 +182,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_exact_topk": op12_exact_topk,
+    "op13_prefix_trie": op13_prefix_trie,
 }
