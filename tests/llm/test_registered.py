@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     found = contract.queries()
-    assert sorted(int(re.match(r"op(\d+)_", name).group(1)) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name).group(1)) for name in QUERIES) == list(range(1, 14))
     assert QUERIES.keys() <= found.keys() and "pipeline" in found
     assert ORACLE_SQL.items() <= contract.oracle_sql().items() and ORACLE_SQL.keys() <= QUERIES.keys()
 
