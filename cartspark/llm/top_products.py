@@ -31,6 +31,8 @@ EXACT = float(1 << 52)
 # Rounding of rotated sums, relative to the product of the lengths; far above what double precision can lose.
 ROUNDING = 1e-9
 LEAST_INTEGER = -(1 << 63)
+# Share of products that the bounds leave open from which all of a step are computed as one matrix product.
+DENSE = 0.02
 
 
 def usable(vector: Column) -> Column:
@@ -39,11 +41,16 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite, F.lit(False))
 
 
+def all_below(queries: np.ndarray, vectors: np.ndarray) -> bool:
+    """Whether every product of the rows is exact in double precision."""
+    q, x = (np.abs(v.astype(np.float64)).max(initial=0) for v in (queries, vectors))
+    return bool(q * x * max(queries.shape[1], 1) < EXACT)
+
+
 def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Inner products of paired rows of integers, exact; beyond 64 bits they are the nearest 64-bit integer."""
-    q, x = queries.astype(np.float64), vectors.astype(np.float64)
-    if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(q.shape[1], 1) < EXACT:
-        return np.einsum("ij,ij->i", q, x).astype(np.int64)
+    if all_below(queries, vectors):
+        return np.einsum("ij,ij->i", queries.astype(np.float64), vectors.astype(np.float64)).astype(np.int64)
     exact = (queries.astype(object) * vectors.astype(object)).sum(axis=1)
     return np.array([min(max(int(e), LEAST_INTEGER), -LEAST_INTEGER - 1) for e in exact], dtype=np.int64)
 
@@ -91,6 +98,7 @@ def search_block(
     rest_q = np.sqrt((q[:, head:] ** 2).sum(axis=1))
     length_q = np.sqrt((q**2).sum(axis=1))
     best = Best(len(q), k, floor)
+    small = all_below(queries, vectors)
     for at in range(0, len(x), STEP):
         part = slice(at, at + STEP)
         slack = ROUNDING * length_q * lengths[at]
@@ -100,10 +108,22 @@ def search_block(
         bound = q[alive, :head] @ x[part, :head].T
         bound += rest_q[alive, None] * rest_x[None, part]
         near = bound >= (best.floor - slack)[alive, None]
+        if small and near.mean() > DENSE:
+            # One matrix product is cheaper than many single ones, and as exact with numbers of this size.
+            scores = queries[alive].astype(np.float64) @ vectors[part].astype(np.float64).T
+            needed = best.floor[alive]
+            if scores.shape[1] > k:
+                needed = np.maximum(needed, np.partition(scores, -k, axis=1)[:, -k])
+            row, column = np.nonzero(scores >= needed[:, None])
+            found = scores[row, column].astype(np.int64)
+            best.add(alive[row], found, ids[column + at], uids[column + at])
+            continue
         row, column = np.nonzero(near)
         for i in range(0, len(row), 1 << 18):
             mine, other = alive[row[i : i + (1 << 18)]], column[i : i + (1 << 18)] + at
-            best.add(mine, products(queries[mine], vectors[other]), ids[other], uids[other])
+            found = products(queries[mine], vectors[other])
+            reached = found >= best.floor[mine]
+            best.add(mine[reached], found[reached], ids[other[reached]], uids[other[reached]])
     return best
 
 

@@ -31,9 +31,11 @@ def vectors(seed, n, dim, spread):
     return np.floor(100 * length * rng.normal(size=(n, dim)) * np.linspace(3, 0.1, dim)).astype(int).tolist()
 
 
+@pytest.mark.parametrize("dense", [0.02, 1.0])
 @pytest.mark.parametrize("small_blocks", [False, True])
 @pytest.mark.parametrize("spread", [0.0, 1.5])
-def test_equals_all_products(spark, monkeypatch, small_blocks, spread):
+def test_equals_all_products(spark, monkeypatch, small_blocks, spread, dense):
+    monkeypatch.setattr(module, "DENSE", dense)
     if small_blocks:
         for name, value in {"BLOCK_VECTORS": 40, "STEP": 16, "GROUP_QUERIES": 3}.items():
             monkeypatch.setattr(module, name, value)
@@ -65,6 +67,7 @@ def test_nulls_other_lengths_few_candidates_and_large_numbers(spark):
 
 def test_bounds_leave_most_products_out(monkeypatch):
     counted = []
+    monkeypatch.setattr(module, "DENSE", 1.0)
     exact = module.products
     monkeypatch.setattr(module, "products", lambda q, x: counted.append(len(q)) or exact(q, x))
     x = np.array(vectors(3, 4096, 32, 1.0))
