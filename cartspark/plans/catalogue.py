@@ -22,7 +22,7 @@ from cartspark.sources import (
     first_events,
     read_events,
     sample_rows,
-    write_result,
+    write_table,
 )
 
 ENVELOPE_RECORDS = 100
@@ -105,7 +105,7 @@ def envelopes(spark: SparkSession, folder: str) -> DataFrame:
 
 def serving_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Summary and top products from one stored rollup, and the latest window alone."""
-    path = write_result(ops.history_rollup(events(spark, folder)), scratch_path(spark, "rollup"), "rollup", partition_by=("level",))
+    path = write_table(ops.history_rollup(events(spark, folder)), scratch_path(spark, "rollup"), partition_by=("level",))
     rollup = spark.read.parquet(path)
     return (
         ops.rollup_summary(rollup),
@@ -133,7 +133,7 @@ def serving_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_back_events(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_path(spark, "csv")
-    return read_events(spark, write_result(events(spark, folder), base, "events", "csv"), "csv")
+    return read_events(spark, write_table(events(spark, folder), f"{base}/events", "csv"), "csv")
 
 
 def keyed_envelope(spark: SparkSession, folder: str) -> DataFrame:

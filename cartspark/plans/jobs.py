@@ -15,6 +15,7 @@ from cartspark.sources import (
     require_columns,
     sample_rows,
     write_result,
+    write_table,
 )
 from cartspark.streaming import (
     archive_first_records,
@@ -84,7 +85,7 @@ def batch_report(
     The history is scanned and shuffled once, into a rollup below the output that is removed when the job is done, and
     the four results are read off it. An executor lost later costs a part of the rollup's readers, not the scan.
     """
-    stored = write_result(ops.history_rollup(events), output, "_rollup", partition_by=("level",))
+    stored = write_table(ops.history_rollup(events), f"{output.rstrip('/')}/_rollup", partition_by=("level",))
     rollup = spark.read.parquet(stored)
     pairs = ops.rollup_pairs(rollup)
     write_result(ops.rollup_summary(rollup, scale), output, SUMMARY, fmt, tiny=True)
@@ -116,7 +117,7 @@ def speed_report(
     stored = None
     if limit is not None:
         # Used three times below, found once.
-        stored = write_result(first_events(events, limit), output, "_events")
+        stored = write_table(first_events(events, limit), f"{output.rstrip('/')}/_events")
         events = spark.read.schema(EVENT_SCHEMA).parquet(stored)
     windows = ops.sliding_windows(events, width_minutes, threshold=threshold)
     write_result(windows.orderBy("window_end"), output, WINDOWS, fmt)

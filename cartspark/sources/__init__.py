@@ -14,7 +14,8 @@ from cartspark.sources.events import (
     require_columns,
     sample_rows,
 )
-from cartspark.sources.results import read_result, remove_table, write_result
+from cartspark.sources.results import read_result, write_result, write_table
+from cartspark.sources.versions import new_version, read_pointer, remove_table, version_folder, write_pointer
 
 __all__ = [
     "ADD_TO_CART",
@@ -28,10 +29,15 @@ __all__ = [
     "canonical_events",
     "conform_events",
     "first_events",
+    "new_version",
     "read_events",
+    "read_pointer",
     "read_result",
     "remove_table",
     "require_columns",
     "sample_rows",
+    "version_folder",
+    "write_pointer",
     "write_result",
+    "write_table",
 ]

@@ -1,4 +1,4 @@
-"""Result tables: written once by a job, read back by the next."""
+"""Result tables: written by a job, read back by the next, and replaced as a whole."""
 
 from __future__ import annotations
 
@@ -7,21 +7,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from cartspark.sources.versions import new_version, version_folder
+
 # A null is written as a mark of its own, so that an empty text stays one.
 CSV_OPTIONS = {"header": True, "nullValue": "\\N"}
 
 
-def write_result(
-    df: DataFrame,
-    base: str,
-    name: str,
-    fmt: str = "parquet",
-    *,
-    tiny: bool = False,
-    partition_by: tuple[str, ...] = (),
+def write_result(df: DataFrame, base: str, name: str, fmt: str = "parquet", *, tiny: bool = False) -> str:
+    """Replace the result table ``base/name`` and return the folder of its files.
+
+    Readers have the old table until the new one is complete, and keep it if the write fails. ``tiny`` is for results of
+    a few rows, which get one file.
+    """
+    with new_version(df.sparkSession, f"{base.rstrip('/')}/{name}") as version:
+        return write_table(df, version.folder, fmt, tiny=tiny)
+
+
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", *, tiny: bool = False, partition_by: tuple[str, ...] = ()
 ) -> str:
-    """Overwrite the result table ``base/name``. ``tiny`` is for results of a few rows, which get one file."""
-    path = f"{base.rstrip('/')}/{name}"
+    """Overwrite a table that nobody else reads meanwhile."""
     out = df.coalesce(1) if tiny else df
     if fmt == "csv":
         # CSV has no arrays or maps: those columns become JSON text.
@@ -39,17 +44,18 @@ def write_result(
     return path
 
 
-def remove_table(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate table, wherever it is stored."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def read_result(
     spark: SparkSession, base: str, name: str, fmt: str = "parquet", schema: str | T.StructType | None = None
 ) -> DataFrame:
-    """Read ``base/name`` back. A missing table raises ``FileNotFoundError``, an empty one is an empty frame."""
+    """The table ``base/name`` as it is now. A missing one raises ``FileNotFoundError``, an empty one is an empty frame.
+
+    A table of plain files, without versions, is read as it is.
+    """
     path = f"{base.rstrip('/')}/{name}"
+    try:
+        path = version_folder(spark, path)
+    except FileNotFoundError:
+        pass
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)

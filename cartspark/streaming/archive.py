@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartspark.functions import clean_nan, date_of, is_one_object, utc_text
-from cartspark.sources.results import remove_table
+from cartspark.sources.versions import remove_table
 
 BATCH = "batch_id"
 

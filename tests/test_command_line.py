@@ -1,13 +1,13 @@
 import os
 
 from cartspark.__main__ import main
-from cartspark.sources import canonical_events, write_result
+from cartspark.sources import canonical_events, write_table
 
 
 def test_all_jobs(spark, folder, capsys, monkeypatch):
     monkeypatch.setattr("cartspark.__main__.build_session", lambda name: spark)
     log = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    source = write_result(canonical_events(log), folder, "events", "csv")
+    source = write_table(canonical_events(log), f"{folder}/events", "csv")
     results = f"{folder}/results"
     main(["profile", "--input", source])
     main(["batch", "--input", source, "--output", results])

@@ -14,6 +14,7 @@ from cartspark.sources import (
     require_columns,
     sample_rows,
     write_result,
+    write_table,
 )
 
 LOG = "/root/testdata/sf0.001/events.parquet"
@@ -76,7 +77,7 @@ def test_json_numbers_written_as_floats(spark, folder):
 @pytest.mark.parametrize("fmt", ["csv", "json", "parquet", "orc"])
 def test_events_survive_each_format(spark, events, folder, fmt):
     table = events((1, 2, "view", 3), (4, None, "addtocart", None), (6, 7, "transaction", 8, 9))
-    path = write_result(table, folder, "events", fmt)
+    path = write_table(table, f"{folder}/events", fmt)
     assert rows(read_events(spark, path, fmt)) == rows(table)
 
 
