@@ -7,8 +7,8 @@ import argparse
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from cartspark import operators as ops
 from cartspark import plans
-from cartspark.operators import recent_windows
 from cartspark.session import build_session
 from cartspark.sources import read_events
 
@@ -38,8 +38,13 @@ def parser() -> argparse.ArgumentParser:
     archive = job("archive", "drain a folder of event files into a JSON lines archive", output=False)
     archive.add_argument("--output", required=True)
     archive.add_argument("--checkpoint", help="needed unless there is a limit")
-    archive.add_argument("--limit", type=int, help="replace the archive by the first records only")
+    archive.add_argument("--limit", type=int, help="archive so many records; without a checkpoint, the first ones only")
+    archive.add_argument("--by-date", action="store_true", help="divide the archive by event date")
     archive.add_argument("--max-files", type=int, help="files per micro-batch")
+    history = job("history", "count what is new in an archive into the history, and report from that", events=False)
+    history.add_argument("--archive", required=True)
+    history.add_argument("--history", required=True, help="folder of the stored history")
+    history.add_argument("--max-parts", type=int, help="parts of the archive to count at most")
     closed = job("stream-windows", "drain a folder of event files into sliding windows", output=False)
     closed.add_argument("--window-minutes", type=int, default=5)
     estimates = job("stream-estimates", "drain a folder of record files into an estimate per micro-batch", output=False)
@@ -63,14 +68,21 @@ def main(arguments: list[str] | None = None) -> None:
             args.input_format,
             args.limit,
             args.max_files,
+            by_date=args.by_date,
         )
         print(f"records archived: {archived}, rejected: {rejected}")
         return
+    if args.job == "history":
+        counted = plans.update_history(spark, args.archive, args.history, args.max_parts)
+        print(f"parts counted: {counted}")
+        plans.history_report(spark, args.history, args.output, args.format)["batch_summary"].show(truncate=False)
+        ops.approximate_uniques(plans.read_sketches(spark, args.history)).show(truncate=False)
+        return
     if args.job == "stream-windows":
         windows = plans.stream_windows(
             spark, args.input, args.output, args.checkpoint, args.input_format, args.window_minutes, args.max_files
         )
-        recent_windows(windows).show(truncate=False)
+        ops.recent_windows(windows).show(truncate=False)
         return
     if args.job == "stream-estimates":
         plans.stream_estimates(
@@ -94,7 +106,7 @@ def main(arguments: list[str] | None = None) -> None:
         windows = plans.speed_report(
             spark, events, args.output, args.format, args.window_minutes, args.limit
         )
-        recent_windows(windows).show(truncate=False)
+        ops.recent_windows(windows).show(truncate=False)
     else:
         tally = Observation()
         records = plans.publish(events, args.limit).observe(

@@ -8,13 +8,16 @@ from cartspark.operators.pairs import (
 from cartspark.operators.profile import event_type_counts, null_profile
 from cartspark.operators.ratio import ratio_to_baseline
 from cartspark.operators.rollup import (
+    ROLLUP_COLUMNS,
     batch_summary,
     history_rollup,
+    merge_rollups,
     rollup_hours,
     rollup_pairs,
     rollup_summary,
 )
 from cartspark.operators.serving import alert_summary, serving_view
+from cartspark.operators.sketches import approximate_uniques, hourly_sketches, merge_sketches
 from cartspark.operators.trends import hourly_event_trend, micro_batch_estimate
 from cartspark.operators.windows import (
     cart_groups,
@@ -27,17 +30,22 @@ from cartspark.operators.windows import (
 )
 
 __all__ = [
+    "ROLLUP_COLUMNS",
     "abandoned_pairs",
     "add_pairs",
     "alert_summary",
+    "approximate_uniques",
     "batch_summary",
     "cart_groups",
     "event_type_counts",
     "history_rollup",
     "hourly_abandonment_trend",
     "hourly_event_trend",
+    "hourly_sketches",
     "last_windows",
     "latest_window",
+    "merge_rollups",
+    "merge_sketches",
     "micro_batch_estimate",
     "null_profile",
     "pair_state",

@@ -23,6 +23,18 @@ LEVEL_KEYS = {
     PAIR: ("cart_visitorid", "cart_itemid"),
 }
 
+ROLLUP_COLUMNS = (
+    *(key for keys in LEVEL_KEYS.values() for key in keys),
+    "level",
+    "event_count",
+    "view_count",
+    "addtocart_count",
+    "transaction_count",
+    "first_add_timestamp",
+    "last_add_timestamp",
+    "last_transaction_timestamp",
+)
+
 
 def history_rollup(events: DataFrame, levels: tuple[str, ...] = tuple(LEVEL_KEYS)) -> DataFrame:
     """One row per level and key, with event counts and the times of the pair state.
@@ -59,6 +71,21 @@ def history_rollup(events: DataFrame, levels: tuple[str, ...] = tuple(LEVEL_KEYS
     )
 
 
+def merge_rollups(rollups: DataFrame) -> DataFrame:
+    """One rollup from the rows of several: of the whole history, if each holds other events of it.
+
+    Counts add up, first and last times are the first and last of all; so whichever events came together does not matter.
+    """
+    keys = [key for level in LEVEL_KEYS.values() for key in level]
+    merged = rollups.groupBy("level", *keys).agg(
+        *(F.sum(name).alias(name) for name in ("event_count", "view_count", "addtocart_count", "transaction_count")),
+        F.min("first_add_timestamp").alias("first_add_timestamp"),
+        F.max("last_add_timestamp").alias("last_add_timestamp"),
+        F.max("last_transaction_timestamp").alias("last_transaction_timestamp"),
+    )
+    return merged.select(*ROLLUP_COLUMNS)
+
+
 def rollup_hours(rollup: DataFrame) -> DataFrame:
     """The hourly event trend."""
     counters = ("view_count", "addtocart_count", "transaction_count")

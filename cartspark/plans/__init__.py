@@ -1,6 +1,8 @@
+from cartspark.plans.history import counted_parts, read_history, read_sketches, update_history
 from cartspark.plans.jobs import (
     archive,
     batch_report,
+    history_report,
     profile_report,
     publish,
     serving_report,
@@ -12,10 +14,15 @@ from cartspark.plans.jobs import (
 __all__ = [
     "archive",
     "batch_report",
+    "counted_parts",
+    "history_report",
     "profile_report",
     "publish",
+    "read_history",
+    "read_sketches",
     "serving_report",
     "speed_report",
     "stream_estimates",
     "stream_windows",
+    "update_history",
 ]

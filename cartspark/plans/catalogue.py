@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,7 @@ from cartspark.sources import (
 )
 
 ENVELOPE_RECORDS = 100
+WEEK = ("2024-01-08", "2024-01-14")
 
 
 def event_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -165,6 +166,68 @@ def archive_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{base}/archive/{st.RECORDS}").select(*schema.names)
 
 
+def landed(spark: SparkSession, folder: str, base: str, steps: int) -> list[DataFrame]:
+    """The published records in as many groups as there are steps; events of one cart fall into several of them."""
+    rows = keyed_envelope(spark, folder).select("value")
+    return [rows.filter(F.pmod(F.xxhash64("value"), F.lit(steps)) == step) for step in range(steps)]
+
+
+def archived_history(spark: SparkSession, folder: str, steps: int = 3) -> str:
+    """Archive the records in steps and count each into a history; the last step is counted twice, to no effect."""
+    base = scratch_path(spark, "history")
+    for records in landed(spark, folder, base, steps):
+        records.write.mode("append").text(f"{base}/landing")
+        plans.archive(spark, f"{base}/landing", f"{base}/archive", f"{base}/checkpoint")
+        plans.update_history(spark, f"{base}/archive", f"{base}/history")
+    plans.update_history(spark, f"{base}/archive", f"{base}/history")
+    return f"{base}/history"
+
+
+def incremental_history(spark: SparkSession, folder: str) -> DataFrame:
+    return flat(plans.read_history(spark, archived_history(spark, folder)))
+
+
+def incremental_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """More steps than the history keeps parts, so that parts are merged, and the report from what is stored."""
+    history = archived_history(spark, folder, 5)
+    return plans.history_report(spark, history, scratch_path(spark, "results"))["batch_summary"]
+
+
+def limited_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Archive 100 records, then 3, then all that is left; read back as events."""
+    base = scratch_path(spark, "limited")
+    keyed_envelope(spark, folder).select("value").repartition(4).write.text(f"{base}/landing")
+    for limit in (100, 3, None):
+        plans.archive(spark, f"{base}/landing", f"{base}/archive", f"{base}/checkpoint", limit=limit)
+    return st.read_archive(spark, f"{base}/archive")
+
+
+def archive_by_date(spark: SparkSession, folder: str) -> DataFrame:
+    """The events of a week, from an archive in which every date has its folder."""
+    base = scratch_path(spark, "dated")
+    keyed_envelope(spark, folder).select("value").write.text(f"{base}/landing")
+    plans.archive(spark, f"{base}/landing", f"{base}/archive", f"{base}/checkpoint", by_date=True)
+    return st.read_archive(spark, f"{base}/archive", dates=WEEK)
+
+
+def approximate_uniques(spark: SparkSession, folder: str) -> DataFrame:
+    """For each day: events and items and visitors, exactly and whether the stored sketches are within 3 % of that."""
+    table = events(spark, folder).filter(event_time(F.col("timestamp")).isNotNull())
+    path = write_table(ops.hourly_sketches(table), scratch_path(spark, "sketches"))
+    near = ops.approximate_uniques(spark.read.parquet(path), {"day": F.to_date("hour")})
+    exact = table.groupBy(F.to_date(event_time(F.col("timestamp"))).alias("day")).agg(
+        F.count_distinct("visitorid").alias("unique_visitors"), F.count_distinct("itemid").alias("unique_items")
+    )
+
+    def within(name: str) -> Column:
+        return (F.abs(F.col(f"approx_{name}") - F.col(name)) <= F.col(name) * 0.03).alias(f"{name}_within_3_percent")
+
+    return exact.join(near, "day").select(
+        F.date_format("day", "yyyy-MM-dd").alias("day"), "event_count", "unique_visitors", "unique_items",
+        within("unique_visitors"), within("unique_items"),
+    )
+
+
 def stream_sliding_windows(spark: SparkSession, folder: str, width_minutes: int = 5) -> DataFrame:
     base = scratch_path(spark, "windows")
     stream = event_stream(spark, folder)
@@ -218,6 +281,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_envelope": decode_envelope,
     "micro_batch_estimate": micro_batch_estimate,
     "archive_stream": archive_stream,
+    "limited_archive": limited_archive,
+    "archive_by_date": archive_by_date,
+    "incremental_history": incremental_history,
+    "incremental_summary": incremental_summary,
+    "approximate_uniques": approximate_uniques,
     "stream_sliding_windows": stream_sliding_windows,
     "stream_sliding_windows_60m": lambda s, d: stream_sliding_windows(s, d, 60),
     "stream_batch_estimates": stream_batch_estimates,

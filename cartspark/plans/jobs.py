@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartspark import operators as ops
 from cartspark.functions.expressions import ALERT_THRESHOLD
+from cartspark.plans.history import read_history
 from cartspark.sources import (
     EVENT_SCHEMA,
     first_events,
@@ -20,7 +21,6 @@ from cartspark.sources import (
 from cartspark.streaming import (
     archive_first_records,
     archive_records,
-    archived_counts,
     decode_values,
     keyed_envelope,
     read_estimates,
@@ -85,8 +85,21 @@ def batch_report(
     The history is scanned and shuffled once, into a rollup below the output that is removed when the job is done, and
     the four results are read off it. An executor lost later costs a part of the rollup's readers, not the scan.
     """
-    stored = write_table(ops.history_rollup(events), f"{output.rstrip('/')}/_rollup", partition_by=("level",))
-    rollup = spark.read.parquet(stored)
+    return rollup_report(spark, ops.history_rollup(events), output, fmt, scale)
+
+
+def history_report(
+    spark: SparkSession, history: str, output: str, fmt: str = "parquet", scale: int | None = 4
+) -> dict[str, DataFrame]:
+    """The tables of ``batch_report``, from the stored history of an archive; no event is read."""
+    return rollup_report(spark, read_history(spark, history), output, fmt, scale)
+
+
+def rollup_report(
+    spark: SparkSession, rollup: DataFrame, output: str, fmt: str, scale: int | None
+) -> dict[str, DataFrame]:
+    stored = write_table(rollup, f"{output.rstrip('/')}/_rollup", partition_by=("level",))
+    rollup = spark.read.schema(rollup.schema).parquet(stored)
     pairs = ops.rollup_pairs(rollup)
     write_result(ops.rollup_summary(rollup, scale), output, SUMMARY, fmt, tiny=True)
     write_result(ops.top_abandoned_products(pairs), output, TOP_PRODUCTS, fmt, tiny=True)
@@ -163,23 +176,25 @@ def archive(
     fmt: str = "json",
     limit: int | None = None,
     max_files: int | None = None,
+    *,
+    by_date: bool = False,
 ) -> tuple[int, int]:
     """Drain a folder of record files into an archive; returns how many records were archived and rejected.
 
-    With a checkpoint a run adds what is new since the last one. A limited run replaces the archive by the first
-    ``limit`` records and keeps no checkpoint, since a checkpoint would count the records beyond the limit as done.
+    With a checkpoint a run adds what is new since the last one, or at most ``limit`` records of it; what it read beyond
+    the limit waits for the next run. Without one the archive is replaced by the first ``limit`` records.
     """
-    if limit is not None:
-        if checkpoint is not None:
-            raise ValueError("a limited archive starts from the first record on every run and takes no checkpoint")
-        return archive_first_records(record_values(spark, source, fmt, stream=False), output, limit)
-    if checkpoint is None:
+    if limit is not None and max_files is None:
+        # Small micro-batches, so that a small limit reads little.
+        max_files = 1
+    values = record_values(spark, source, fmt, max_files)
+    if checkpoint is not None:
+        return archive_records(values, output, checkpoint, limit, by_date=by_date)
+    if limit is None:
         raise ValueError("name a checkpoint, so that a later run goes on where this one ends")
-    before = archived_counts(spark, output)
-    query = archive_records(record_values(spark, source, fmt, max_files), output, checkpoint)
-    query.awaitTermination()
-    new = [counts for batch, counts in archived_counts(spark, output).items() if batch not in before]
-    return sum(n for n, _ in new), sum(n for _, n in new)
+    if by_date:
+        raise ValueError("an archive by date needs a checkpoint")
+    return archive_first_records(spark, values, output, limit)
 
 
 def stream_windows(

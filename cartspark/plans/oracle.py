@@ -257,3 +257,17 @@ SELECT itemid, hour, event_count,
   event_count / first_value(event_count) OVER (PARTITION BY itemid ORDER BY hour) AS ratio
 FROM hourly""",
 }
+
+# The same results by other ways: an archive that grows in steps, and one that is limited or divided by date.
+ORACLE_SQL |= {
+    "incremental_history": ORACLE_SQL["history_rollup"],
+    "incremental_summary": ORACLE_SQL["batch_summary"],
+    "limited_archive": ALL_EVENTS,
+    "archive_by_date": f"""WITH {EVENTS} SELECT timestamp, visitorid, event, itemid, transactionid FROM ev
+WHERE timestamp // 86400000 BETWEEN epoch_ms(TIMESTAMP '2024-01-08') // 86400000 AND epoch_ms(TIMESTAMP '2024-01-14') // 86400000""",
+    "approximate_uniques": f"""WITH {EVENTS}
+SELECT strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d') AS day, count(*) AS event_count,
+  count(DISTINCT visitorid) AS unique_visitors, count(DISTINCT itemid) AS unique_items,
+  true AS unique_visitors_within_3_percent, true AS unique_items_within_3_percent
+FROM ev WHERE timestamp IS NOT NULL GROUP BY 1""",
+}

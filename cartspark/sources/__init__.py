@@ -15,7 +15,14 @@ from cartspark.sources.events import (
     sample_rows,
 )
 from cartspark.sources.results import read_result, write_result, write_table
-from cartspark.sources.versions import new_version, read_pointer, remove_table, version_folder, write_pointer
+from cartspark.sources.versions import (
+    names_in,
+    new_version,
+    read_pointer,
+    remove_table,
+    version_folder,
+    write_pointer,
+)
 
 __all__ = [
     "ADD_TO_CART",
@@ -29,6 +36,7 @@ __all__ = [
     "canonical_events",
     "conform_events",
     "first_events",
+    "names_in",
     "new_version",
     "read_events",
     "read_pointer",

@@ -38,38 +38,63 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(place)) if files.exists(place) else []
 
 
+def paths_like(spark: SparkSession, pattern: str) -> list[str]:
+    """Existing files and folders that a pattern names."""
+    place, files = _file_system(spark, pattern)
+    return sorted(status.getPath().toString() for status in files.globStatus(place) or [])
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or None if it is not there."""
+    place, files = _file_system(spark, path)
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file over what is there."""
+    place, files = _file_system(spark, path)
+    stream = files.create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the target must not be there."""
+    place, files = _file_system(spark, target)
+    files.mkdirs(place.getParent())
+    if files.exists(place) or not files.rename(spark._jvm.org.apache.hadoop.fs.Path(source), place):
+        raise FileExistsError(f"{source} can not be moved to {target}")
+
+
 def read_pointer(spark: SparkSession, path: str) -> tuple[int, dict] | None:
     """Number and content of the newest pointer of a versioned folder."""
     while True:
         numbers = [int(name.removesuffix(".json")) for name in names_in(spark, f"{path}/{POINTERS}") if name.endswith(".json")]
         if not numbers:
             return None
-        place, files = _file_system(spark, f"{path}/{POINTERS}/{max(numbers):012d}.json")
-        if not files.exists(place):
-            # A writer replaced it since it was listed.
-            continue
-        stream = files.open(place)
-        try:
-            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return max(numbers), json.loads(text)
+        text = read_text(spark, f"{path}/{POINTERS}/{max(numbers):012d}.json")
+        if text is not None:
+            return max(numbers), json.loads(text)
+        # A writer replaced it since it was listed.
 
 
 def write_pointer(spark: SparkSession, path: str, number: int, content: dict) -> None:
     """Make ``content`` the newest pointer, at once and as a whole."""
-    final, files = _file_system(spark, f"{path}/{POINTERS}/{number:012d}.json")
-    if files.exists(final):
-        raise FileExistsError(f"version {number} of {path} was published by another writer")
-    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTERS}/.{uuid.uuid4().hex}")
-    stream = files.create(draft, True)
+    final, draft = f"{path}/{POINTERS}/{number:012d}.json", f"{path}/{POINTERS}/.{uuid.uuid4().hex}"
+    write_text(spark, draft, json.dumps(content))
     try:
-        stream.write(bytearray(json.dumps(content).encode()))
-    finally:
-        stream.close()
-    if not files.rename(draft, final):
-        files.delete(draft, False)
-        raise FileExistsError(f"version {number} of {path} was published by another writer")
+        move(spark, draft, final)
+    except FileExistsError:
+        remove_table(spark, draft)
+        raise FileExistsError(f"version {number} of {path} was published by another writer") from None
     for name in names_in(spark, f"{path}/{POINTERS}"):
         if name.endswith(".json") and int(name.removesuffix(".json")) <= number - KEPT:
             remove_table(spark, f"{path}/{POINTERS}/{name}")

@@ -5,7 +5,9 @@ from cartspark.streaming.archive import (
     archive_records,
     archive_stream,
     archived_counts,
+    archived_parts,
     keyed_envelope,
+    read_archive,
     stamp_ingestion,
 )
 from cartspark.streaming.envelope import (
@@ -26,12 +28,14 @@ __all__ = [
     "archive_records",
     "archive_stream",
     "archived_counts",
+    "archived_parts",
     "decode_envelope",
     "decode_records",
     "decode_values",
     "failed_records",
     "good_events",
     "keyed_envelope",
+    "read_archive",
     "read_estimates",
     "read_stream_windows",
     "record_values",

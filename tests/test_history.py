@@ -1,0 +1,161 @@
+"""History of an archive that grows, against the history of all its events."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from cartspark import operators as ops
+from cartspark import plans
+from cartspark import streaming as st
+from cartspark.plans import history as module
+from cartspark.sources import canonical_events, names_in
+from tests.conftest import HOUR
+
+LOG = "/root/testdata/sf0.001/events.parquet"
+
+
+def same(left, right):
+    left, right = left.select(*right.columns), right
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+def add(spark, folder, events, **options):
+    events.write.mode("append").parquet(f"{folder}/in")
+    return plans.archive(spark, f"{folder}/in", f"{folder}/archive", f"{folder}/checkpoint", "parquet", **options)
+
+
+def update(spark, folder, **options):
+    return plans.update_history(spark, f"{folder}/archive", f"{folder}/history", **options)
+
+
+@pytest.mark.parametrize("by_date", [False, True])
+def test_history_after_each_step_equals_a_full_recompute(spark, folder, by_date):
+    events = canonical_events(spark.read.parquet(LOG)).cache()
+    for step in range(6):
+        part = events.filter(F.pmod(F.hash("timestamp"), F.lit(6)) == step)
+        add(spark, folder, part, by_date=by_date)
+        assert update(spark, folder) == 1
+        so_far = events.filter(F.pmod(F.hash("timestamp"), F.lit(6)) <= step)
+        assert same(plans.read_history(spark, f"{folder}/history"), ops.history_rollup(so_far))
+        sketches = plans.read_sketches(spark, f"{folder}/history")
+        assert same(sketches.select("hour", "event_count"), so_far.groupBy(
+            F.date_trunc("hour", F.timestamp_millis("timestamp")).alias("hour")
+        ).agg(F.count(F.lit(1)).alias("event_count")))
+    # Four parts were merged into one, and two came after.
+    assert len(names_in(spark, f"{folder}/history/parts")) <= 3 + 4
+    assert plans.counted_parts(spark, f"{folder}/history") == 6
+    tables = plans.history_report(spark, f"{folder}/history", f"{folder}/results")
+    assert tables["batch_summary"].collect() == ops.batch_summary(events).collect()
+    assert tables["top_abandoned_products"].collect() == ops.top_abandoned_products(ops.pair_state(events)).collect()
+    assert same(tables["hourly_event_trend"], ops.hourly_event_trend(events))
+    assert same(tables["hourly_abandonment_trend"], ops.hourly_abandonment_trend(ops.pair_state(events)))
+
+
+def test_pair_whose_events_come_in_different_steps(spark, events, folder):
+    steps = [(5, 1, "addtocart", 7)], [(9, 1, "transaction", 7)], [(9, 1, "addtocart", 7)], [(2, 1, "addtocart", 7)]
+    abandoned = []
+    for step in steps:
+        add(spark, folder, events(*step))
+        update(spark, folder)
+        pairs = ops.rollup_pairs(plans.read_history(spark, f"{folder}/history"))
+        abandoned.append(ops.abandoned_pairs(pairs).count())
+    assert abandoned == [1, 0, 1, 1]
+    assert [tuple(r) for r in pairs.collect()] == [(1, 7, 2, 9, 9)]
+
+
+def test_step_that_is_repeated_or_cut_off_changes_nothing(spark, events, folder, monkeypatch):
+    add(spark, folder, events((1, 1, "view", 1), (2, 1, "addtocart", 1)))
+    assert update(spark, folder) == 1
+    before = plans.read_history(spark, f"{folder}/history").collect()
+    assert update(spark, folder) == 0
+    add(spark, folder, events((3, 2, "view", 1)))
+
+    def lost(*args):
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(module, "write_pointer", lost)
+    with pytest.raises(OSError, match="driver lost"):
+        update(spark, folder)
+    monkeypatch.undo()
+    assert sorted(plans.read_history(spark, f"{folder}/history").collect(), key=str) == sorted(before, key=str)
+    assert update(spark, folder) == 1
+    rows = ops.rollup_summary(plans.read_history(spark, f"{folder}/history")).first()
+    assert (rows["total_rows"], rows["unique_visitors"]) == (3, 2)
+
+
+def test_only_the_new_parts_are_read(spark, events, folder, monkeypatch):
+    read = []
+    whole = module.read_archive
+    monkeypatch.setattr(module, "read_archive", lambda *a: read.append(whole(*a)) or read[-1])
+    for step in range(3):
+        add(spark, folder, events((step * HOUR, step, "view", step)))
+        update(spark, folder)
+        files = read[-1].inputFiles()
+        assert files and all(f"batch_id={step}/" in name for name in files)
+
+
+def test_several_parts_in_one_step(spark, events, folder):
+    for step in range(5):
+        add(spark, folder, events((step, step, "view", step)))
+    assert update(spark, folder, max_parts=2) == 2
+    assert ops.rollup_summary(plans.read_history(spark, f"{folder}/history")).first()["total_rows"] == 2
+    assert update(spark, folder) == 3
+    assert ops.rollup_summary(plans.read_history(spark, f"{folder}/history")).first()["total_rows"] == 5
+
+
+def test_part_without_any_record(spark, folder):
+    import os
+
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/a.json", "w") as out:
+        out.write("none\n")
+    plans.archive(spark, f"{folder}/in", f"{folder}/archive", f"{folder}/checkpoint")
+    assert update(spark, folder) == 1
+    assert ops.rollup_summary(plans.read_history(spark, f"{folder}/history")).first()["total_rows"] == 0
+
+
+def test_history_belongs_to_one_archive(spark, events, folder):
+    with pytest.raises(FileNotFoundError):
+        plans.read_history(spark, f"{folder}/history")
+    add(spark, folder, events((1, 1, "view", 1)))
+    update(spark, folder)
+    plans.archive(spark, f"{folder}/in", f"{folder}/other", f"{folder}/c2", "parquet")
+    with pytest.raises(ValueError, match="another archive"):
+        plans.update_history(spark, f"{folder}/other", f"{folder}/history")
+
+
+def test_limited_runs_feed_the_history(spark, folder):
+    events = canonical_events(spark.read.parquet(LOG))
+    events.repartition(3).write.parquet(f"{folder}/in")
+    for limit in (10, 500, None):
+        plans.archive(spark, f"{folder}/in", f"{folder}/archive", f"{folder}/checkpoint", "parquet", limit)
+        update(spark, folder)
+    assert same(plans.read_history(spark, f"{folder}/history"), ops.history_rollup(events))
+
+
+@pytest.mark.parametrize(("first", "last"), [(0, 720), (10, 11), (100, 400)])
+def test_sketches_are_near_the_exact_counts(spark, folder, first, last):
+    events = canonical_events(spark.read.parquet("/root/testdata/sf0.1/events.parquet"))
+    start = events.agg(F.min("timestamp")).first()[0] // HOUR * HOUR
+    part = F.col("timestamp").between(start + first * HOUR, start + last * HOUR - 1)
+    exact = events.filter(part).agg(F.count_distinct("visitorid"), F.count_distinct("itemid"), F.count("*")).first()
+    # Sketches of two halves of the events merge into those of all.
+    halves = [ops.hourly_sketches(events.filter(F.col("visitorid") % 2 == i)) for i in (0, 1)]
+    sketches = ops.merge_sketches(halves[0].unionByName(halves[1]))
+    hour = F.unix_millis("hour").between(start + first * HOUR, start + last * HOUR - 1)
+    near = ops.approximate_uniques(sketches.filter(hour)).first()
+    assert near["event_count"] == exact[2]
+    assert near["approx_unique_visitors"] == pytest.approx(exact[0], rel=0.03)
+    assert near["approx_unique_items"] == pytest.approx(exact[1], rel=0.03)
+
+
+def test_sketches_of_nothing(spark, events):
+    assert tuple(ops.approximate_uniques(ops.hourly_sketches(events())).first()) == (0, 0, 0)
+    rows = ops.approximate_uniques(ops.hourly_sketches(events((None, None, "view", None)))).first()
+    assert tuple(rows) == (1, 0, 0)
+
+
+def test_archive_is_read_whole_or_in_parts(spark, events, folder):
+    for step in range(3):
+        add(spark, folder, events((step, step, "view", step)))
+    assert st.read_archive(spark, f"{folder}/archive").count() == 3
+    assert [r["itemid"] for r in st.read_archive(spark, f"{folder}/archive", range(1, 2)).collect()] == [1]

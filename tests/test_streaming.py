@@ -229,9 +229,7 @@ def test_limited_archive_starts_from_the_first_record(spark, folder, limit):
         assert kept.exceptAll(events).isEmpty()
 
 
-def test_limit_and_checkpoint_exclude_each_other(spark, folder):
-    with pytest.raises(ValueError, match="checkpoint"):
-        plans.archive(spark, folder, f"{folder}/out", f"{folder}/checkpoint", limit=3)
+def test_archive_without_limit_needs_a_checkpoint(spark, folder):
     with pytest.raises(ValueError, match="checkpoint"):
         plans.archive(spark, folder, f"{folder}/out")
 
