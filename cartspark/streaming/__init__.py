@@ -18,7 +18,7 @@ from cartspark.streaming.envelope import (
     good_events,
 )
 from cartspark.streaming.estimates import read_estimates, stream_batch_estimates
-from cartspark.streaming.sliding import read_stream_windows, stream_sliding_windows
+from cartspark.streaming.sliding import read_late_rows, read_stream_windows, stream_sliding_windows
 from cartspark.streaming.sources import record_values, stream_events, stream_values
 
 __all__ = [
@@ -37,6 +37,7 @@ __all__ = [
     "keyed_envelope",
     "read_archive",
     "read_estimates",
+    "read_late_rows",
     "read_stream_windows",
     "record_values",
     "stamp_ingestion",

@@ -297,6 +297,69 @@ def test_wide_stream_windows_over_several_runs(spark, events, folder):
     assert got == {s: row for s, row in expected.items() if row[0] <= last - 10 * MINUTE}
 
 
+def test_each_micro_batch_runs_its_stateful_plan_once(spark, events, folder):
+    history = random_events(23, 400, 80, 3, 8)
+    parts = [(i * 20 * MINUTE + (i > 0), (i + 1) * 20 * MINUTE) for i in range(4)]
+    source = write_files(events(*history), folder, parts)
+    stream = st.stream_events(spark, source, max_files=1)
+    query = st.stream_sliding_windows(stream, f"{folder}/out", f"{folder}/checkpoint", 5, watermark="2 minutes")
+    updated = [p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"]]
+    late = [p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress]
+    groups = []
+    for low, high in parts:
+        rows = [r for r in history if low <= r[0] <= high]
+        carts = {(r[0] // MINUTE, r[1], r[3]) for r in rows if r[2] in (ADD, BUY)}
+        groups.append(len(carts | {(r[0] // MINUTE, r[2] is None) for r in rows if r[2] not in (ADD, BUY)}))
+    assert updated == groups and not any(late)
+
+
+def test_bookkeeping_of_windows_does_not_grow(spark, events, folder):
+    from cartspark.sources import names_in, read_pointer
+
+    os_names = []
+    for step in range(7):
+        events(*((step * 30 * MINUTE + i * MINUTE, i, ADD, i) for i in range(30))).coalesce(1).write.json(f"{folder}/in/part={step}")
+        stream = st.stream_events(spark, f"{folder}/in/*", max_files=1)
+        st.stream_sliding_windows(stream, f"{folder}/out", f"{folder}/checkpoint", 5, watermark="1 minute").awaitTermination()
+        state = read_pointer(spark, f"{folder}/out")[1]
+        os_names.append((len(names_in(spark, f"{folder}/out/panes")), len(state["panes"]), len(state["closed"])))
+    assert os_names[-1] == os_names[-2] and max(os_names[-1]) <= 4
+    history = [(step * 30 * MINUTE + i * MINUTE, i, ADD, i) for step in range(7) for i in range(30)]
+    closed = {s: r for s, r in brute_force(history, 5, bounded=False).items() if r[0] <= 209 * MINUTE - MINUTE}
+    assert collected(st.read_stream_windows(spark, f"{folder}/out")) == closed
+
+
+@pytest.mark.parametrize("drain", [True, False])
+def test_late_rows_are_counted(spark, events, folder, drain):
+    on_time = events(*((i * MINUTE, 1, ADD, 1) for i in range(0, 60, 10)))
+    # Behind the watermark: two pairs in one minute, one of them twice, and two views of one minute.
+    late = events(
+        (MINUTE, 2, ADD, 2), (MINUTE + 1, 2, ADD, 2), (MINUTE, 3, ADD, 2), (2 * MINUTE, 4, "view", 1), (2 * MINUTE, 5, "view", 2),
+        (59 * MINUTE, 9, ADD, 9),
+    )
+    last = events((90 * MINUTE, 3, "view", 3))
+    # A micro-batch drops what was behind the watermark of the one before.
+    between = events((51 * MINUTE, 1, "view", 1))
+    for index, part in enumerate([on_time, between, late, last]):
+        part.coalesce(1).write.json(f"{folder}/in/part={index}")
+    stream = st.stream_events(spark, f"{folder}/in/*", max_files=1)
+    query = st.stream_sliding_windows(
+        stream, f"{folder}/out", f"{folder}/checkpoint", 5, watermark="2 minutes", drain=drain
+    )
+    if drain:
+        query.awaitTermination()
+    else:
+        query.processAllAvailable()
+        # One more micro-batch, so that the progress of those before is noted.
+        events((200 * MINUTE, 3, "view", 3)).coalesce(1).write.json(f"{folder}/in/part=9")
+        query.processAllAvailable()
+        query.stop()
+    found = st.read_late_rows(spark, f"{folder}/out").collect()
+    assert sum(r["late_rows"] for r in found) == 3
+    assert all(r["watermark"] is not None for r in found)
+    assert st.read_late_rows(spark, f"{folder}/none").count() == 0
+
+
 def test_a_row_later_than_the_watermark_is_in_no_window(spark, events, folder):
     on_time = [(i * MINUTE, 1, ADD, 1) for i in range(0, 60, 10)]
     spark_rows = events(*on_time)
