@@ -49,7 +49,9 @@ def parser() -> argparse.ArgumentParser:
     closed.add_argument("--window-minutes", type=int, default=5)
     estimates = job("stream-estimates", "drain a folder of record files into an estimate per micro-batch", output=False)
     estimates.add_argument("--dead-letters", help="folder for the records that cannot be decoded")
-    for stream in (closed, estimates):
+    sending = job("stream-publish", "drain a folder of event files into keyed JSON records", output=False)
+    sending.add_argument("--largest", type=int, help="bytes of a record that the receiver takes at most")
+    for stream in (closed, estimates, sending):
         stream.add_argument("--output", required=True)
         stream.add_argument("--checkpoint", required=True)
         stream.add_argument("--max-files", type=int, help="files per micro-batch")
@@ -89,13 +91,21 @@ def main(arguments: list[str] | None = None) -> None:
             spark, args.input, args.output, args.checkpoint, args.input_format, args.dead_letters, args.max_files
         ).show(truncate=False)
         return
+    if args.job == "stream-publish":
+        plans.stream_publish(
+            spark, args.input, args.output, args.checkpoint, args.input_format, args.largest, args.max_files
+        ).show(truncate=False)
+        return
     if args.job == "serve":
         for table in plans.serving_report(spark, args.output, args.format):
             table.show(truncate=False)
         return
     events = read_events(spark, args.input, args.input_format)
     if args.job == "profile":
-        for name, table in plans.profile_report(events).items():
+        tables = plans.profile_report(events)
+        if args.input_format in ("csv", "json"):
+            tables |= plans.scan_report(spark, args.input, args.input_format)
+        for name, table in tables.items():
             print(name)
             table.show(truncate=False)
     elif args.job == "batch":

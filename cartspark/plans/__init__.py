@@ -5,9 +5,11 @@ from cartspark.plans.jobs import (
     history_report,
     profile_report,
     publish,
+    scan_report,
     serving_report,
     speed_report,
     stream_estimates,
+    stream_publish,
     stream_windows,
 )
 
@@ -20,9 +22,11 @@ __all__ = [
     "publish",
     "read_history",
     "read_sketches",
+    "scan_report",
     "serving_report",
     "speed_report",
     "stream_estimates",
+    "stream_publish",
     "stream_windows",
     "update_history",
 ]

@@ -22,10 +22,14 @@ from cartspark.sources import (
     first_events,
     read_events,
     sample_rows,
+    scan_rows,
     write_table,
 )
+from cartspark.sources import fault_counts as fault_tally
 
 ENVELOPE_RECORDS = 100
+LARGEST = 149
+LINE_FILES = 8
 WEEK = ("2024-01-08", "2024-01-14")
 
 
@@ -210,6 +214,45 @@ def archive_by_date(spark: SparkSession, folder: str) -> DataFrame:
     return st.read_archive(spark, f"{base}/archive", dates=WEEK)
 
 
+def publish_stream(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The events sent as a stream, each stamped with its own time, and the tally; the longest records are refused."""
+    base = scratch_path(spark, "published")
+    st.publish_stream(
+        event_stream(spark, folder), base, f"{base}/checkpoint", largest=LARGEST, at=event_time(F.col("timestamp"))
+    ).awaitTermination()
+    return st.read_sent(spark, base), st.read_tally(spark, base)
+
+
+def faulty_lines(spark: SparkSession, folder: str) -> str:
+    """The events as lines of CSV, some with a cell too few or too many, or with text where a number belongs."""
+    rows = canonical_events(event_log(spark, folder), keep=("event_id",))
+    nth = F.col("event_id") % 40
+    cells = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in EVENT_SCHEMA.names]
+    item = F.when(nth == 3, F.lit("new")).when(nth == 5, F.concat(F.lit('"'), cells[3], F.lit('.0"'))).otherwise(cells[3])
+    line = F.concat_ws(",", *cells[:3], item)
+    line = F.when(nth == 7, line).when(nth == 9, F.concat(line, F.lit(",,,"))).otherwise(F.concat(line, F.lit(","), cells[4]))
+    line = F.when(nth == 11, F.regexp_replace(line, "^[0-9]*", "soon")).otherwise(line)
+    # Every file of a CSV folder begins with the header.
+    lines = rows.select((F.col("event_id") % LINE_FILES).alias("file"), F.lit(False).alias("head"), line.alias("value"))
+    heads = spark.range(LINE_FILES).select(
+        F.col("id").alias("file"), F.lit(True).alias("head"), F.lit(",".join(EVENT_SCHEMA.names)).alias("value")
+    )
+    path = scratch_path(spark, "lines")
+    placed = lines.unionByName(heads).repartition("file").sortWithinPartitions("file", F.desc("head"))
+    placed.select("file", "value").write.partitionBy("file").text(path)
+    return f"{path}/file=*"
+
+
+def fault_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return fault_tally(scan_rows(spark, faulty_lines(spark, folder)))
+
+
+def scanned_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the faulty lines as events, next to the list of their faults."""
+    rows = scan_rows(spark, faulty_lines(spark, folder))
+    return rows.filter(F.size("faults") > 0).select("event", "visitorid", F.concat_ws("; ", "faults").alias("faults"))
+
+
 def approximate_uniques(spark: SparkSession, folder: str) -> DataFrame:
     """For each day: events and items and visitors, exactly and whether the stored sketches are within 3 % of that."""
     table = events(spark, folder).filter(event_time(F.col("timestamp")).isNotNull())
@@ -286,6 +329,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_history": incremental_history,
     "incremental_summary": incremental_summary,
     "approximate_uniques": approximate_uniques,
+    "publish_stream": lambda s, d: publish_stream(s, d)[0],
+    "delivery_tally": lambda s, d: publish_stream(s, d)[1],
+    "fault_counts": fault_counts,
+    "scanned_rows": scanned_rows,
     "stream_sliding_windows": stream_sliding_windows,
     "stream_sliding_windows_60m": lambda s, d: stream_sliding_windows(s, d, 60),
     "stream_batch_estimates": stream_batch_estimates,

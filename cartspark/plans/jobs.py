@@ -10,11 +10,14 @@ from cartspark.functions.expressions import ALERT_THRESHOLD
 from cartspark.plans.history import read_history
 from cartspark.sources import (
     EVENT_SCHEMA,
+    fault_counts,
     first_events,
     read_result,
+    rejected_rows,
     remove_table,
     require_columns,
     sample_rows,
+    scan_rows,
     write_result,
     write_table,
 )
@@ -23,8 +26,10 @@ from cartspark.streaming import (
     archive_records,
     decode_values,
     keyed_envelope,
+    publish_stream,
     read_estimates,
     read_stream_windows,
+    read_tally,
     record_values,
     stamp_ingestion,
     stream_batch_estimates,
@@ -61,6 +66,12 @@ WINDOW_SCHEMA = (
 )
 
 
+def scan_report(spark: SparkSession, path: str, fmt: str) -> dict[str, DataFrame]:
+    """What a scan of text files can not read: rows per fault and all rows, and some of the rows. Nothing runs yet."""
+    rows = scan_rows(spark, path, fmt)
+    return {"fault_counts": fault_counts(rows), "rejected_rows": sample_rows(rejected_rows(spark, path, fmt))}
+
+
 def profile_report(events: DataFrame) -> dict[str, DataFrame]:
     """Data check: sample, event counts, missing values, summary and top products. Nothing runs yet."""
     require_columns(events, EVENT_SCHEMA.names)
@@ -168,6 +179,21 @@ def publish(events: DataFrame, limit: int | None = None) -> DataFrame:
     return keyed_envelope(stamp_ingestion(events))
 
 
+def stream_publish(
+    spark: SparkSession,
+    source: str,
+    output: str,
+    checkpoint: str,
+    fmt: str = "json",
+    largest: int | None = None,
+    max_files: int | None = None,
+) -> DataFrame:
+    """Drain a folder of event files into keyed JSON; returns the tally of all micro-batches so far."""
+    events = stream_events(spark, source, fmt, max_files)
+    publish_stream(events, output, checkpoint, largest=largest).awaitTermination()
+    return read_tally(spark, output)
+
+
 def archive(
     spark: SparkSession,
     source: str,

@@ -271,3 +271,21 @@ SELECT strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d') AS day, count(*) A
   true AS unique_visitors_within_3_percent, true AS unique_items_within_3_percent
 FROM ev WHERE timestamp IS NOT NULL GROUP BY 1""",
 }
+
+KEYED = ORACLE_SQL["keyed_envelope"]
+FAULTS = f"""{EVENTS},
+faulty AS (
+  SELECT *, CASE event_id % 40 WHEN 3 THEN 'itemid is no whole number' WHEN 7 THEN 'missing cells'
+    WHEN 9 THEN 'surplus cells' WHEN 11 THEN 'timestamp is no whole number' END AS fault
+  FROM ev
+)"""
+ORACLE_SQL |= {
+    "publish_stream": f"SELECT key, value FROM ({KEYED}) WHERE octet_length(encode(value)) <= 149",
+    "delivery_tally": f"""SELECT CAST(0 AS BIGINT) AS batch_id, count(*) FILTER (WHERE octet_length(encode(value)) <= 149) AS sent,
+  count(*) FILTER (WHERE octet_length(encode(value)) <= 149 AND key IS NULL) AS unkeyed,
+  count(*) FILTER (WHERE octet_length(encode(value)) > 149) AS failed FROM ({KEYED})""",
+    "fault_counts": f"""WITH {FAULTS}
+SELECT fault, count(*) AS row_count FROM faulty WHERE fault IS NOT NULL GROUP BY fault
+UNION ALL SELECT NULL, count(*) FROM faulty""",
+    "scanned_rows": f"WITH {FAULTS} SELECT event, CAST(visitorid AS VARCHAR) AS visitorid, fault AS faults FROM faulty WHERE fault IS NOT NULL",
+}

@@ -14,6 +14,7 @@ from cartspark.sources.events import (
     require_columns,
     sample_rows,
 )
+from cartspark.sources.rejects import fault_counts, rejected_rows, scan_rows
 from cartspark.sources.results import read_result, write_result, write_table
 from cartspark.sources.versions import (
     names_in,
@@ -35,15 +36,18 @@ __all__ = [
     "VIEW",
     "canonical_events",
     "conform_events",
+    "fault_counts",
     "first_events",
     "names_in",
     "new_version",
     "read_events",
     "read_pointer",
     "read_result",
+    "rejected_rows",
     "remove_table",
     "require_columns",
     "sample_rows",
+    "scan_rows",
     "version_folder",
     "write_pointer",
     "write_result",

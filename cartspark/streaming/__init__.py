@@ -10,6 +10,7 @@ from cartspark.streaming.archive import (
     read_archive,
     stamp_ingestion,
 )
+from cartspark.streaming.delivery import file_sink, publish_stream, read_sent, read_tally, topic_sink
 from cartspark.streaming.envelope import (
     decode_envelope,
     decode_records,
@@ -33,16 +34,21 @@ __all__ = [
     "decode_records",
     "decode_values",
     "failed_records",
+    "file_sink",
     "good_events",
     "keyed_envelope",
+    "publish_stream",
     "read_archive",
     "read_estimates",
     "read_late_rows",
+    "read_sent",
     "read_stream_windows",
+    "read_tally",
     "record_values",
     "stamp_ingestion",
     "stream_batch_estimates",
     "stream_events",
     "stream_sliding_windows",
     "stream_values",
+    "topic_sink",
 ]
