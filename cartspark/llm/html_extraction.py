@@ -3,16 +3,20 @@
 A page is read as a stream of structural tags and texts. Streams of one host are aligned one after the other: a group
 that follows itself becomes a repeated group, a group that only one side has an optional one, and text a slot. Each
 slot of the finished wrapper is main text or not by what encloses it, and a page's texts are read off at the slots.
+
+An <article> says what the main text is. Where a page has none, the wrapper tells what belongs to the template of its
+host: a text that stands in the same slot on most of the host's different pages is not this page's main text.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +46,16 @@ DROPPED_WORDS = frozenset(
     "alert popup modal overlay comment comments reply replies disqus respond share sharing social related recommended "
     "newsletter subscribe subscription signup login toolbar widget skip hidden".split()
 )
+# Words that may stand beside those in one name without changing what it is: post-comments, top-ad-2, cookie-bar.
+NEUTRAL_WORDS = frozenset(
+    "area article bar block bottom box container content global group holder inner item left links list main page panel "
+    "post primary right secondary section site top wrap wrapper".split()
+)
+# Elements inside a line of text.
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter output picture progress q "
+    "ruby s samp small span strike strong sub sup time tt u var".split()
+)
 # Elements that an open <p> ends at, and those that end an open one of their own kind.
 CLOSES_P = BLOCKS - {"html", "head", "body", "option", "optgroup"}
 SAME = {
@@ -67,18 +81,24 @@ WORDS = re.compile(r"[a-z]+|\d+")
 RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
+def says_dropped(token: str) -> bool:
+    """Whether a class or id names something that is no main text: all its words do, or are neutral (no-comments: no)."""
+    words = WORDS.findall(token)
+    return any(w in DROPPED_WORDS for w in words) and all(w in DROPPED_WORDS or w in NEUTRAL_WORDS or w.isdigit() for w in words)
+
+
 @lru_cache(maxsize=4096)
 def label_of(name: str, attrs: str) -> str:
-    """The element's name; with an exclamation mark before it, if it holds no main text; * for role=main."""
+    """The element's name; * for role=main. With ! before it, it holds no main text; with ~, its class or id says so."""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attrs)} if attrs else {}
-    if name in ("html", "body", "main"):
+    if name in ("html", "body"):
         return name
-    if name in DROPPED or found.get("role") in DROPPED_ROLES or (attrs and HIDDEN.search(attrs)):
-        return "!" + name
-    words = set(WORDS.findall(found.get("class", "") + " " + found.get("id", "")))
-    if words & DROPPED_WORDS:
+    if name != "main" and (name in DROPPED or found.get("role") in DROPPED_ROLES or (attrs and HIDDEN.search(attrs))):
         return "!" + name
-    return "main" if found.get("role") == "main" else name
+    main = name == "main" or found.get("role") == "main"
+    if any(says_dropped(token) for token in f"{found.get('class', '')} {found.get('id', '')}".split()) and name != "main":
+        return "~" + ("main" if main else name)
+    return "main" if main else name
 
 
 @dataclass
@@ -101,6 +121,8 @@ class Node:
         """The wrapper as a regular expression over tags."""
         if self.label == "#":
             return "#" + self.sign
+        if self.label[0] == "(":
+            return f"({''.join(c.expression() for c in self.children)}){self.sign}"
         return f"(<{self.label}>{''.join(c.expression() for c in self.children)}</{self.label}>){self.sign}"
 
     def pack(self) -> list:
@@ -111,28 +133,42 @@ class Node:
         return cls(data[0], [cls.unpack(c) for c in data[3]], bool(data[1]), bool(data[2]))
 
 
-# Elements nested deeper than this are read as if they stood at this depth.
+# Elements nested deeper than this are no nodes of their own: their texts are blocks of the node at this depth, and what
+# is dropped among them is dropped. What class or id mark is a node down to one and a half times this depth, and an
+# article or main element down to twice.
 DEPTH = 200
+REGIONS = ("article", "main")
 
 
 def read_page(page: str) -> Node:
-    """Blocks and their texts. Inline elements belong to the text; comments, scripts and styles vanish."""
+    """Blocks and their texts. Inline elements belong to the text; comments, scripts and styles vanish.
+
+    What class or id mark as no main text is that, unless an article or main element stands in it. An article so marked
+    counts only where a page has no other.
+    """
     root = Node("page")
-    stack: list[tuple[str, Node]] = [("page", root)]
-    at, end = 0, len(page)
+    # Name, node that takes the texts, and depth of that node.
+    stack: list[tuple[str, Node, int]] = [("page", root, 0)]
+    at, end, apart = 0, len(page), False
 
     def text(run: str) -> None:
+        nonlocal apart
         if not run:
             return
         siblings = stack[-1][1].children
-        if siblings and siblings[-1].label == "#":
+        if siblings and siblings[-1].label == "#" and not apart:
             siblings[-1].text += run
         elif not run.isspace():
             siblings.append(Node("#", text=run))
+            apart = False
 
     def close(names: tuple[str, ...], scopes: frozenset = frozenset()) -> None:
+        nonlocal apart
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] in names:
+                # Blocks that share a node are blocks all the same.
+                deeper = zip(stack[i - 1 :], stack[i:])
+                apart = apart or any(outer[2] == inner[2] and inner[0] in BLOCKS for outer, inner in deeper)
                 del stack[i:]
                 return
             if stack[i][0] in scopes:
@@ -149,7 +185,7 @@ def read_page(page: str) -> Node:
         if not name:
             continue
         if match["close"] or match["close2"]:
-            if name in BLOCKS or any(name == open_ for open_, _ in stack[-8:]):
+            if name in BLOCKS or any(name == entry[0] for entry in stack[-8:]):
                 close((name,))
             continue
         if name in RAW:
@@ -160,21 +196,55 @@ def read_page(page: str) -> Node:
             text(" ")
             continue
         label = label_of(name, match["attrs"] or "")
-        if name not in BLOCKS and label[0] != "!" and label != "main":
+        block = name in BLOCKS or label == "main"
+        if not block and (label[0] not in "!~" or (label[0] == "~" and name not in INLINE)):
             continue
         if name in CLOSES_P:
             close(("p",), SCOPES)
         if name in SAME:
             close(SAME[name], SCOPES - set(SAME[name]))
-        node = Node(label)
-        if name in BLOCKS or label == "main":
-            stack[-1][1].children.append(node)
-        # Else what is dropped stands inside a block's text, which goes on behind it.
-        if name not in VOID and len(stack) < DEPTH:
-            stack.append((name, node))
+        _, parent, depth = stack[-1]
+        deepest = 2 * DEPTH if label in REGIONS else 3 * DEPTH // 2 if label[0] == "~" else DEPTH
+        if not block or (depth >= DEPTH and label[0] == "!"):
+            # Dropped inside a block's text, which goes on behind it, or too deep for a node.
+            entry = (name, Node("!" + name), depth)
+        elif depth >= deepest:
+            apart = True
+            entry = (name, parent, depth)
+        else:
+            node = Node(label)
+            parent.children.append(node)
+            entry = (name, node, depth + 1)
+        if name not in VOID:
+            stack.append(entry)
+    settle(root)
     return root
 
 
+def settle(root: Node) -> None:
+    """Decide what class or id mark as no main text: it is that, unless what says main text stands in it."""
+    found: set[str] = set()
+
+    def collect(node: Node) -> None:
+        found.add(node.label)
+        for child in node.children:
+            if child.label[0] != "!":
+                collect(child)
+
+    collect(root)
+    wanted = {r for r in REGIONS if r in found} or {f"~{r}" for r in REGIONS}
+
+    def decide(node: Node) -> bool:
+        holds = node.label in wanted
+        for child in node.children:
+            holds = (child.label[0] != "!" and decide(child)) or holds
+        if node.label[0] == "~":
+            node.label = node.label[1:] if holds else "!" + node.label[1:]
+        return holds
+
+    decide(root)
+
+
 def fold(children: list[Node]) -> list[Node]:
     """Neighbours of one label become one repeated group."""
     out: list[Node] = []
@@ -188,11 +258,37 @@ def fold(children: list[Node]) -> list[Node]:
     return out
 
 
+# Longest group of neighbours, (h2 p), that is looked for as a repeated one.
+TANDEM = 6
+
+
+def fold_groups(children: list[Node]) -> list[Node]:
+    """Neighbours that come again in the same order become one repeated group, whose label lists theirs."""
+    out: list[Node] = []
+    i = 0
+    labels = [c.label for c in children]
+    while i < len(children):
+        for width in range(2, TANDEM + 1):
+            unit, times = labels[i : i + width], 1
+            while len(unit) == width and labels[i + times * width : i + (times + 1) * width] == unit:
+                times += 1
+            if times > 1:
+                parts = [children[i + k * width : i + (k + 1) * width] for k in range(times)]
+                joined = [reduce(align, same) for same in zip(*parts, strict=True)]
+                out.append(Node(f"({' '.join(unit)})", joined, False))
+                i += times * width
+                break
+        else:
+            out.append(children[i])
+            i += 1
+    return out
+
+
 def structure(node: Node) -> Node:
     """A page's stream as a first wrapper: groups folded, texts as slots, nothing below what holds no main text."""
     if node.label == "#" or node.label[0] == "!":
         return Node(node.label)
-    return Node(node.label, fold([structure(c) for c in node.children]))
+    return Node(node.label, fold_groups(fold([structure(c) for c in node.children])))
 
 
 def align(a: Node, b: Node) -> Node:
@@ -265,10 +361,17 @@ def mark(wrapper: Node) -> Node:
             if child.label[0] != "!":
                 walk(child, inside)
 
+    def members(part: Node) -> Iterator[Node]:
+        for child in part.children:
+            if child.label[0] == "(":
+                yield from members(child)
+            else:
+                yield child
+
     def join(node: Node, parts: list[Node]) -> Node:
         together: dict[str, list[Node]] = {}
         for part in parts:
-            for child in part.children:
+            for child in members(part):
                 together.setdefault(child.label, []).append(child)
         node.groups = {label: join(Node(label, main=same[0].main), same) for label, same in together.items()}
         return node
@@ -285,8 +388,13 @@ def fits(node: Node, pattern: Node) -> bool:
     )
 
 
-def main_text(page: str, wrapper: Node | None = None) -> str:
-    """A page's texts at the main slots of its host's wrapper, blocks joined by line ends.
+def slot_of(path: str, line: str) -> str:
+    """A text in its place, as a key."""
+    return hashlib.sha256(f"{path}\n{line}".encode("utf-8", "surrogatepass")).hexdigest()[:32]
+
+
+def main_blocks(page: str, wrapper: Node | None = None) -> tuple[str, list[tuple[str, str]]]:
+    """What encloses the main text, and the texts at the main slots: path of labels, and text.
 
     A page without the region that its host's wrapper has (an article, say) is a wrapper of its own, and so is one with
     an element that the wrapper does not have there. Groups of one label that others stand between are read as one: what
@@ -296,20 +404,64 @@ def main_text(page: str, wrapper: Node | None = None) -> str:
     own = region_of(root)
     if wrapper is None or region_of(wrapper) != own or not fits(root, wrapper):
         wrapper = mark(structure(root))
-    blocks: list[str] = []
+    blocks: list[tuple[str, str]] = []
 
-    def walk(node: Node, pattern: Node) -> None:
+    def walk(node: Node, pattern: Node, path: str) -> None:
         for child in node.children:
             group = pattern.groups[child.label]
             if child.label[0] == "!":
                 continue
             if child.label != "#":
-                walk(child, group)
+                walk(child, group, f"{path}/{child.label}")
             elif group.main and (line := " ".join(html.unescape(child.text).split())):
-                blocks.append(line)
+                blocks.append((path, line))
+
+    walk(root, wrapper, "")
+    return own, blocks
+
 
-    walk(root, wrapper)
-    return "\n".join(blocks)
+def main_text(page: str, wrapper: Node | None = None, template: frozenset[str] = frozenset()) -> str:
+    """A page's texts at the main slots of its host's wrapper, blocks joined by line ends.
+
+    In a page without an article, texts of the host's template are left out; if nothing else is there, they stay.
+    """
+    region, blocks = main_blocks(page, wrapper)
+    if template and region != "article":
+        blocks = [b for b in blocks if slot_of(*b) not in template] or blocks
+    return "\n".join(line for _, line in blocks)
+
+
+# A text belongs to a template if so many different pages of its host have it in one place, and more than half of them.
+TEMPLATE_PAGES = 3
+
+
+def find_templates(pages: DataFrame) -> DataFrame:
+    """host and template: the texts, in their places, that most different pages of a host without an article share.
+
+    A host has at most twice as many of them as a page has blocks. Equal pages count as one.
+    """
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in split_batches(batches, "html", 4 * CHUNK_BYTES):
+            out: set[tuple[str, str, str]] = set()
+            for host, page in zip(batch.column("host"), batch.column("html"), strict=True):
+                region, blocks = main_blocks(page.as_py() or "")
+                if region == "article" or not blocks:
+                    continue
+                keys = [slot_of(*b) for b in blocks]
+                digest = slot_of("", " ".join(keys))
+                # The empty slot counts the pages themselves.
+                out |= {(host.as_py(), digest, key) for key in ["", *keys]}
+            columns = list(zip(*out)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["host", "page", "slot"])
+
+    # Most pages say what their article is; they are not parsed here.
+    others = pages.where(~F.coalesce(F.col("html").rlike("(?i)<article"), F.lit(False))).select("host", "html")
+    found = others.mapInArrow(slots, "host string, page string, slot string").distinct()
+    counted = found.groupBy("host", "slot").agg(F.count(F.lit(1)).alias("n"))
+    hosts = counted.where("slot = ''").select("host", F.col("n").alias("pages")).where(F.col("pages") >= TEMPLATE_PAGES)
+    shared = counted.where((F.col("slot") != "") & (F.col("n") >= TEMPLATE_PAGES)).join(hosts, "host")
+    return shared.where(F.col("n") * 2 > F.col("pages")).groupBy("host").agg(F.collect_list("slot").alias("template"))
 
 
 @lru_cache(maxsize=1000)
@@ -380,21 +532,26 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 def extract_text(pages: DataFrame, wrappers: DataFrame | None = None) -> DataFrame:
     """Adds ``text`` (main text, empty if none) to page_id, url and html of every row.
 
-    Without ``wrappers`` they are inferred from these pages. A null html is an empty page; a null url, or one without
+    Without ``wrappers`` they and the templates of hosts (at least three different pages) are inferred from these pages. A null html is an empty page; a null url, or one without
     ://, belongs to the host named by the empty string; a page of a host without wrapper is judged by itself. White space
     inside a block is one space; blocks are joined by one line end. Repeated rows stay. Extra columns are not read.
     """
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     if wrappers is None:
-        wrappers = stored(infer_wrappers(rows), "wrappers")
-    joined = rows.join(wrappers.select("host", "wrapper"), "host", "left").select("page_id", "url", "html", "wrapper")
+        inferred = stored(infer_wrappers(rows), "wrappers")
+        wrappers = inferred.join(stored(find_templates(rows), "templates"), "host", "left")
+    if "template" not in wrappers.columns:
+        wrappers = wrappers.withColumn("template", F.lit(None).cast("array<string>"))
+    joined = rows.join(wrappers.select("host", "wrapper", "template"), "host", "left").select(
+        "page_id", "url", "html", "wrapper", "template"
+    )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in split_batches(batches, "html", 4 * CHUNK_BYTES):
             texts = []
-            for page, data in zip(batch.column("html"), batch.column("wrapper"), strict=True):
+            for page, data, template in zip(*(batch.column(c) for c in ("html", "wrapper", "template")), strict=True):
                 wrapper = wrapper_of(data.as_py()) if data.is_valid else None
-                texts.append(main_text(page.as_py() or "", wrapper))
+                texts.append(main_text(page.as_py() or "", wrapper, frozenset(template.as_py() or ())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                 names=["page_id", "url", "text"],

@@ -1,10 +1,11 @@
 import html
+import json
 import random
 import re
 
 import pytest
 
-from cartspark.llm.html_extraction import Node, align, extract_text, infer_wrappers, main_text, read_page, structure
+from cartspark.llm.html_extraction import Node, align, extract_text, infer_wrappers, main_text, mark, read_page, structure
 
 SCHEMA = "page_id long, url string, html string"
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var x="</p><article>";</script></head><body>
@@ -96,6 +97,72 @@ def test_given_pages_against_a_plain_reading(spark):
         assert got[page.page_id] == "\n".join(line for line in lines if line)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<div class="page has-sidebar"><article><p>a</p></article></div>', "a"),
+        ('<article class="post no-comments"><p>a</p></article>', "a"),
+        ('<div class="header-fixed"><main><p>a</p></main></div>', "a"),
+        ('<article><p>a</p><div class="related-work"><p>b</p></div></article>', "a\nb"),
+        ('<div id="sidebar"><article><p>a</p></article></div><p>x</p>', "a"),
+        ('<article class="comment"><p>a</p></article>', "a"),
+        ('<article><p>a</p><article class="comment"><p>c</p></article><div id="post-comments"><p>c</p></div></article>', "a"),
+        ('<body><div class="top-ad-2">x</div><div class="cookie-bar">y</div><div class="adapter">z</div></body>', "z"),
+        ('<article>a<my-banner class="banner">b</my-banner></article>', "ab"),
+    ],
+)
+def test_words_of_a_class_drop_no_article(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("depth", [10, 191, 199, 200, 201, 206, 1000, 5000])
+def test_any_depth(depth):
+    deep = "<div>" * depth
+    page = f"<body>{deep}<nav>MENU<p>x</p></nav><p>a</p>b<section>c<p>d</p>e</section><aside>f</aside>g"
+    assert main_text(page) == "a\nb\nc\nd\ne\ng"
+    assert main_text(f"<body>{deep}<p>out</p><article><p>a</p><footer>f</footer><div>b</div></article>") == "a\nb"
+
+
+@pytest.mark.parametrize("tag", ["<article>", "<main>", "<div class=ad>", "<article class=comment>", "<ul><li>", "<my-x id=ad>"])
+def test_any_number_of_nested_elements(spark, tag):
+    page = tag * 3000 + "<p>a" + "<article><p>b"
+    assert main_text(page).split("\n")[-1] == "b"
+    wrapper = infer_wrappers(spark.createDataFrame([("h", page), ("h", page + "<p>c")], "host string, html string")).first()
+    assert main_text(page, mark(Node.unpack(json.loads(wrapper.wrapper)))).split("\n")[-1] == "b"
+
+
+def site(i, notice="<div>Shop closes at five</div>", body=None):
+    body = body or f"<div><h1>Title {i}</h1><p>Words of page {i}</p></div>"
+    return f"<body>{notice}{body}<div><ul><li>Home</li><li>Imprint</li></ul></div></body>"
+
+
+def test_template_of_a_host_is_no_main_text(spark):
+    rows = [(i, f"http://shop/{i}", site(i)) for i in range(9)] + [(20, "http://shop/x", site(0)), (21, "http://one/1", site(7))]
+    # Pages that say what their article is, and equal pages, are as they are.
+    rows += [(30 + i, f"http://news/{i}", f"<article><p>Same words</p><p>{i}</p></article>") for i in range(5)]
+    rows += [(40 + i, f"http://copy/{i}", site(1)) for i in range(5)] + [(50 + i, f"http://two/{i}", site(i)) for i in range(2)]
+    rows += [(60, "http://shop/empty", site(0, body="<p></p>"))]
+    got = extracted(spark, rows)
+    whole = "Shop closes at five\nTitle {0}\nWords of page {0}\nHome\nImprint"
+    assert [got[i] for i in range(9)] == [f"Title {i}\nWords of page {i}" for i in range(9)]
+    assert got[20] == got[0] and got[21] == whole.format(7)
+    assert [got[30 + i] for i in range(5)] == [f"Same words\n{i}" for i in range(5)]
+    assert {got[40 + i] for i in range(5)} == {whole.format(1)} and got[50] == whole.format(0)
+    assert got[60] == "Shop closes at five\nHome\nImprint"
+
+
+def test_many_sections_are_one_repeated_group():
+    import time
+
+    pages = [structure(read_page("<body>" + f"<h2>a</h2><p>b</p>{more}" * n + "</body>")) for n, more in ((2000, ""), (1999, "<ul><li>c</ul>"))]
+    start = time.process_time()
+    both = align(*pages)
+    assert time.process_time() - start < 1
+    assert pages[0].expression() == "(<page>(<body>((<h2>#</h2>)(<p>#</p>))+</body>)</page>)"
+    assert Node.unpack(both.pack()).expression() == both.expression()
+    assert main_text("<body><h2>a</h2><p>b</p><h2>c</h2><p>d</p>", mark(both)) == "a\nb\nc\nd"
+
+
 def test_random_markup_never_fails():
     rng = random.Random(5)
     parts = ["<p>", "</p>", "<div class=ad>", "</div>", "<article>", "</article>", "text ", "<", ">", "&", "\"", "'", "<b", "<!--", "-->", "<script>", "</script>", "<li>", "<td>", "/"]
