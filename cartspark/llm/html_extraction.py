@@ -539,7 +539,8 @@ def extract_text(pages: DataFrame, wrappers: DataFrame | None = None) -> DataFra
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     if wrappers is None:
         inferred = stored(infer_wrappers(rows), "wrappers")
-        wrappers = inferred.join(stored(find_templates(rows), "templates"), "host", "left")
+        # One small row a host; from a table of known size Spark joins it without moving pages, if it is small enough.
+        wrappers = stored(inferred.join(find_templates(rows), "host", "left"), "wrappers")
     if "template" not in wrappers.columns:
         wrappers = wrappers.withColumn("template", F.lit(None).cast("array<string>"))
     joined = rows.join(wrappers.select("host", "wrapper", "template"), "host", "left").select(
