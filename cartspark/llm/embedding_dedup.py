@@ -112,7 +112,9 @@ def link_embeddings(embeddings: DataFrame, threshold: float = THRESHOLD, margin:
         .withColumn("dim", F.size("vector")),
         "vectors",
     )
-    counts = {row["dim"]: row["count"] for row in vectors.groupBy("dim").count().limit(1000).collect()}
+    # Lengths of vectors that fill no block have one cell; so a row here stands for 2,048 vectors and more.
+    frequent = vectors.groupBy("dim").count().where(F.col("count") > OWNER_BLOCK).collect()
+    counts = {row["dim"]: row["count"] for row in frequent}
     centroids = spark.sparkContext.broadcast(fit_centroids(vectors, counts))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +124,10 @@ def link_embeddings(embeddings: DataFrame, threshold: float = THRESHOLD, margin:
                 dims = batch.column("dim").to_numpy()
                 for dim in np.unique(dims):
                     part = batch.filter(pa.array(dims == dim))
-                    cosines = unit_rows(part.column("vector")) @ centroids.value[int(dim)].T
+                    if int(dim) in centroids.value:
+                        cosines = unit_rows(part.column("vector")) @ centroids.value[int(dim)].T
+                    else:
+                        cosines = np.ones((part.num_rows, 1))
                     best = cosines.argmax(axis=1)
                     index, cell = np.nonzero(cosines >= cosines.max(axis=1, keepdims=True) - margin)
                     chosen = part.take(pa.array(index))

@@ -123,16 +123,19 @@ def mix_sources(
     block_words: int = BLOCK_WORDS,
     shard_documents: int = SHARD_DOCUMENTS,
     seed: int = SEED,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per row of ``documents``: doc_id, source, size, source_size, target, taken, passes, blocks.
 
+    ``carry`` names columns of ``documents`` to return behind these, such as the text that the word ranges number.
+
     ``taken`` counts the words that the mix takes of the document, repeats counted: ``passes`` times the whole
     document, and what lies in ``blocks``, the numbered word ranges [first, last) taken once more. A null or empty text
     has size 0 and is taken 0 times. Null is a source like any other, last in order. Rows that repeat an id are
     documents of their own. Without documents there are no rows. Only doc_id, text and source are read.
     """
     sized = stored(
-        documents.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes"
+        documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry), "mix-sizes"
     )
     rows = sized.count()
     shards = max(1, -(-rows // shard_documents))
@@ -213,4 +216,5 @@ def mix_sources(
         taken.cast("long").alias("taken"),
         F.when(F.col("size") > 0, F.col("_passes")).otherwise(0).cast("int").alias("passes"),
         F.when(F.col("size") > 0, chosen).alias("blocks"),
+        *(f"d.{name}" for name in carry),
     )

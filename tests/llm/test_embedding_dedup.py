@@ -84,3 +84,12 @@ def test_centroids_are_units():
     x = rng.normal(size=(200, 8))
     c = spherical_kmeans(x / np.linalg.norm(x, axis=1, keepdims=True), 12)
     assert np.allclose(np.linalg.norm(c, axis=1), 1)
+
+
+def test_any_number_of_lengths(spark):
+    rows = [(10 * n + i, [1.0] * n + [float(i)]) for n in range(1, 1101) for i in (0, 0, 9)]
+    got = {}
+    for row in link_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect():
+        got.setdefault(row.vec_id, []).append((row.n_links, row.component_id))
+    for n in range(100, 1101, 50):
+        assert got[10 * n] == [(2, 10 * n)] * 2 if n > 345 else [(1, 10 * n)] * 2

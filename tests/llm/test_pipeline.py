@@ -92,6 +92,25 @@ def test_mixing_stage(spark, folder):
     assert got and all(0 < r.taken <= 3 * r.size for r in got)
 
 
+def test_corpus_can_be_built_from_the_result(spark, folder):
+    docs = [*documents(), (900, "", "xx", "s", 0), (901, None, "xx", "s", 0)]
+    docs += [(0, "same id again " * 9, "yy", "s1", 1)]
+    rows = cp.mixing(spark, spark.createDataFrame(docs, SCHEMA), folder).collect()
+    texts = {(i, text) for i, text, *_ in docs}
+    for row in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", row.text)
+        taken = words * row.passes + [w for b in row.blocks for w in words[b["first"] : b["last"]]]
+        assert len(taken) == row.taken and len(words) == row.size and (row.doc_id, row.text) in texts
+    assert {r.lang for r in rows} >= {"xx", "yy"}
+
+
+def test_short_benchmark_items_drop_nothing(spark, tmp_path):
+    items = [(1, "Yes"), (2, "no, never"), (3, "ka ti mo")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = [(1, "yes no never", "x", "s", 1), (2, "so ka ti mo", "x", "s", 1)]
+    assert set(kept(cp.decontamination(spark, spark.createDataFrame(docs, SCHEMA), str(tmp_path)))) == {1}
+
+
 @pytest.mark.parametrize("number", range(5))
 def test_stages_take_empty_tables_and_other_columns(spark, folder, number):
     _, stage = cp.STAGES[number]
