@@ -12,17 +12,22 @@ from cartspark.llm.minhash_dedup import near_duplicates
 from cartspark.llm.mixing import mix_sources
 from cartspark.llm.suffix_dedup import remove_repeats
 
+# Words of a benchmark item.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-# A document whose cosine with every language is lower has no language, if it has so many distinct n-grams. The cosine
-# of clean text grows with about the root of that number; with fewer it can be as low as that of noise.
+# The cosine of clean text with its language grows with about the root of its distinct n-grams, and with few of them it
+# can be as low as that of noise. What a document needs is this, less the share FEW_NGRAMS of its n-grams: nothing with
+# as few or fewer, near all of it with many.
 LEAST_SCORE = 0.1
-ENOUGH_NGRAMS = 64
+FEW_NGRAMS = 64
+# A benchmark item of fewer words says nothing about a document that has them, and is not looked for.
+LEAST_ITEM_WORDS = 3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a learned language, or too short to tell; it becomes the lang of those that have none."""
+    """Documents of a learned language, as far as their length can tell; it becomes the lang of those without one."""
     judged = identify_languages(docs.select(*COLUMNS), "n_grams")
-    known = (F.col("score") >= LEAST_SCORE) | (F.col("n_grams") < ENOUGH_NGRAMS)
+    known = F.col("score") >= LEAST_SCORE * (1 - FEW_NGRAMS / F.greatest("n_grams", F.lit(1)))
     kept = judged.where((F.col("lang_pred") != UNDETERMINED) & known)
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
@@ -42,13 +47,18 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
-    return decontaminate(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents without a passage of a benchmark item of ``LEAST_ITEM_WORDS`` words or more."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where(F.regexp_count("text", F.lit(WORD)) >= LEAST_ITEM_WORDS)
+    return decontaminate(docs.select(*COLUMNS), items)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes: each document's whole passes, and the numbered word ranges taken once more."""
-    return mix_sources(docs).where("taken > 0")
+    """The corpus: texts that the mix takes, with their whole passes and the numbered word ranges taken once more.
+
+    A document's words are its ``text`` once for each of ``passes``, and those in the ranges [first, last) of ``blocks``;
+    together they are ``taken`` words.
+    """
+    return mix_sources(docs, carry=("text", "lang")).where("taken > 0")
 
 
 STAGES = [
