@@ -12,7 +12,9 @@ from cartspark.operators.rollup import (
     batch_summary,
     history_rollup,
     merge_rollups,
+    rollup_event_types,
     rollup_hours,
+    rollup_nulls,
     rollup_pairs,
     rollup_summary,
 )
@@ -51,7 +53,9 @@ __all__ = [
     "pair_state",
     "ratio_to_baseline",
     "recent_windows",
+    "rollup_event_types",
     "rollup_hours",
+    "rollup_nulls",
     "rollup_pairs",
     "rollup_summary",
     "serving_view",

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from cartspark.functions import hour_of, percent, round_half_even
 from cartspark.operators.pairs import has_add, is_abandoned, pair_times
 from cartspark.operators.trends import event_counters, sum_of_counters
-from cartspark.sources.events import CART_EVENTS
+from cartspark.sources.events import CART_EVENTS, EVENT_SCHEMA
 
 HOUR, VISITOR, ITEM, PAIR = "hour", "visitor", "item", "pair"
+# Level of a profile only.
+EVENT = "event"
 LEVEL_KEYS = {
     HOUR: ("hour",),
     VISITOR: ("visitorid",),
@@ -36,9 +38,13 @@ ROLLUP_COLUMNS = (
 )
 
 
-def history_rollup(events: DataFrame, levels: tuple[str, ...] = tuple(LEVEL_KEYS)) -> DataFrame:
+def history_rollup(
+    events: DataFrame, levels: tuple[str, ...] = tuple(LEVEL_KEYS), *, profile: bool = False
+) -> DataFrame:
     """One row per level and key, with event counts and the times of the pair state.
 
+    With ``profile`` there is one more level, by event name, and each row has the number of nulls in every column.
+
     Only cart events carry pair keys. All others share one empty pair, which map-side aggregation reduces to a
     row per task, so views add nothing to the pair level.
     """
@@ -47,7 +53,10 @@ def history_rollup(events: DataFrame, levels: tuple[str, ...] = tuple(LEVEL_KEYS
         & F.col("visitorid").isNotNull()
         & F.col("itemid").isNotNull()
     )
+    nulls = [F.col(name).isNull().alias(f"{name}_null") for name in EVENT_SCHEMA.names] if profile else []
     keyed = events.select(
+        *nulls,
+        *([F.col("event").alias("event_name")] if profile else []),
         "timestamp",
         "event",
         "visitorid",
@@ -56,17 +65,19 @@ def history_rollup(events: DataFrame, levels: tuple[str, ...] = tuple(LEVEL_KEYS
         F.when(in_cart, F.col("visitorid")).alias("cart_visitorid"),
         F.when(in_cart, F.col("itemid")).alias("cart_itemid"),
     )
-    keys = [key for level in levels for key in LEVEL_KEYS[level]]
+    level_keys = {name: LEVEL_KEYS[name] for name in levels} | ({EVENT: ("event_name",)} if profile else {})
+    keys = [key for names in level_keys.values() for key in names]
     level = F.lit(None).cast("string")
-    for name in levels:
-        level = F.when(F.grouping(LEVEL_KEYS[name][0]) == 0, F.lit(name)).otherwise(level)
+    for name, names in level_keys.items():
+        level = F.when(F.grouping(names[0]) == 0, F.lit(name)).otherwise(level)
     return (
-        keyed.groupingSets([[F.col(key) for key in LEVEL_KEYS[name]] for name in levels], *keys)
+        keyed.groupingSets([[F.col(key) for key in names] for names in level_keys.values()], *keys)
         .agg(
             level.alias("level"),
             F.count(F.lit(1)).alias("event_count"),
             *event_counters(F.col("event")),
             *pair_times(F.col("timestamp"), F.col("event")),
+            *(F.count_if(f"{name}_null").alias(f"{name}_nulls") for name in EVENT_SCHEMA.names if profile),
         )
     )
 
@@ -96,6 +107,18 @@ def rollup_hours(rollup: DataFrame) -> DataFrame:
     )
 
 
+def rollup_event_types(rollup: DataFrame) -> DataFrame:
+    """Rows per event name, from a rollup with ``profile``."""
+    return rollup.filter(F.col("level") == EVENT).select(F.col("event_name").alias("event"), "event_count")
+
+
+def rollup_nulls(rollup: DataFrame) -> DataFrame:
+    """Nulls per column, from a rollup with ``profile``. Every event is in exactly one row of the level by name."""
+    named = rollup.filter(F.col("level") == EVENT)
+    sums = named.agg(*(F.coalesce(F.sum(f"{n}_nulls"), F.lit(0)).alias(n) for n in EVENT_SCHEMA.names))
+    return sums.unpivot([], EVENT_SCHEMA.names, "column_name", "null_count")
+
+
 def rollup_pairs(rollup: DataFrame) -> DataFrame:
     """The state of every pair that was in a cart or bought."""
     return rollup.filter(

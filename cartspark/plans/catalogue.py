@@ -243,6 +243,11 @@ def faulty_lines(spark: SparkSession, folder: str) -> str:
     return f"{path}/file=*"
 
 
+def profile_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A table of the data check, as its job makes it."""
+    return lambda spark, folder: plans.profile_report(events(spark, folder))[name]
+
+
 def fault_counts(spark: SparkSession, folder: str) -> DataFrame:
     return fault_tally(scan_rows(spark, faulty_lines(spark, folder)))
 
@@ -332,6 +337,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_stream": lambda s, d: publish_stream(s, d)[0],
     "delivery_tally": lambda s, d: publish_stream(s, d)[1],
     "fault_counts": fault_counts,
+    "profile_event_types": profile_table("event_type_counts"),
+    "profile_nulls": profile_table("null_profile"),
     "scanned_rows": scanned_rows,
     "stream_sliding_windows": stream_sliding_windows,
     "stream_sliding_windows_60m": lambda s, d: stream_sliding_windows(s, d, 60),

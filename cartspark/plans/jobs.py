@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cartspark import operators as ops
 from cartspark.functions.expressions import ALERT_THRESHOLD
 from cartspark.plans.history import read_history
+from cartspark.session import scratch_path
 from cartspark.sources import (
     EVENT_SCHEMA,
     fault_counts,
@@ -73,14 +74,22 @@ def scan_report(spark: SparkSession, path: str, fmt: str) -> dict[str, DataFrame
 
 
 def profile_report(events: DataFrame) -> dict[str, DataFrame]:
-    """Data check: sample, event counts, missing values, summary and top products. Nothing runs yet."""
+    """Data check: sample, event counts, missing values, summary and top products.
+
+    All but the sample come from one scan and one shuffle of the events, into a rollup in the shared folder; the sample
+    is a scan of its own, which keeps five rows a task.
+    """
     require_columns(events, EVENT_SCHEMA.names)
+    spark = events.sparkSession
+    rolled = ops.history_rollup(events, ("visitor", "item", "pair"), profile=True)
+    stored = write_table(rolled, scratch_path(spark, "profile"), partition_by=("level",))
+    rollup = spark.read.schema(rolled.schema).parquet(stored)
     return {
         "sample_rows": sample_rows(events),
-        "event_type_counts": ops.event_type_counts(events),
-        "null_profile": ops.null_profile(events),
-        SUMMARY: ops.batch_summary(events),
-        TOP_PRODUCTS: ops.top_abandoned_products(ops.pair_state(events)),
+        "event_type_counts": ops.rollup_event_types(rollup),
+        "null_profile": ops.rollup_nulls(rollup),
+        SUMMARY: ops.rollup_summary(rollup),
+        TOP_PRODUCTS: ops.top_abandoned_products(ops.rollup_pairs(rollup)),
     }
 
 

@@ -272,6 +272,7 @@ SELECT strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d') AS day, count(*) A
 FROM ev WHERE timestamp IS NOT NULL GROUP BY 1""",
 }
 
+ORACLE_SQL |= {"profile_event_types": ORACLE_SQL["event_type_counts"], "profile_nulls": ORACLE_SQL["null_profile"]}
 KEYED = ORACLE_SQL["keyed_envelope"]
 FAULTS = f"""{EVENTS},
 faulty AS (

@@ -111,6 +111,24 @@ def test_hourly_abandonment_goes_by_the_first_add(events):
     assert hours(trend) == {10 * HOUR: (2, 1, 50.0)}
 
 
+def test_profile_from_one_scan_equals_its_parts(spark, events):
+    from cartspark import plans
+
+    log = canonical_events(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    for table in (log, events((1, 1, "view", None), (None, 1, None, 2), (3, 1, None, 2)), events()):
+        report = plans.profile_report(table)
+        parts = {
+            "event_type_counts": ops.event_type_counts(table),
+            "null_profile": ops.null_profile(table),
+            "batch_summary": ops.batch_summary(table),
+            "top_abandoned_products": ops.top_abandoned_products(ops.pair_state(table)),
+        }
+        for name, part in parts.items():
+            assert sorted(map(tuple, report[name].collect()), key=str) == sorted(map(tuple, part.collect()), key=str)
+    plan = ops.history_rollup(log, ("visitor", "item", "pair"), profile=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 def test_profile(events):
     table = events((1, 1, "view", None), (None, 1, None, 2), (3, 1, None, 2))
     counts = {tuple(r) for r in ops.event_type_counts(table).collect()}
