@@ -37,6 +37,7 @@ BLOCK = 1024
 BLOCK_ITEMS = 2048
 SEED = 3
 
+# Low bits of a drawn number that hold an item's place; a longer run of items takes as many as it needs.
 _PLACE_BITS = 24
 
 
@@ -69,7 +70,7 @@ def sketches_of(items: np.ndarray, offsets: np.ndarray, sketches: int, size: int
     """One key a sketch for each text that has items: its ``size`` smallest items, chained in the order of the text."""
     filled = np.flatnonzero(np.diff(offsets))
     starts = offsets[filled]
-    mask = np.uint64((1 << _PLACE_BITS) - 1)
+    mask = np.uint64((1 << max(_PLACE_BITS, len(items).bit_length())) - 1)
     top = np.uint64(0xFFFFFFFFFFFFFFFF)
     place = np.arange(len(items), dtype=np.uint64)
     salts = mix(np.arange(1, sketches + 1, dtype=np.uint64) + np.uint64(seed * 1000))

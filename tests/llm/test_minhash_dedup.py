@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from cartspark.llm import minhash_dedup
 from cartspark.llm.common import text_chunks, words_of
 from cartspark.llm.minhash_dedup import aligned_similarity, item_hashes, near_duplicates, sketches_of
 from tests.llm.brute import words
@@ -137,3 +138,13 @@ def test_given_documents_against_all_pairs(spark):
             label[a] = label[b] = min(label[a], label[b])
     got = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
     assert got == label
+
+
+def test_places_of_very_long_texts_stay_apart_from_hashes(monkeypatch):
+    rng = np.random.default_rng(8)
+    items = rng.integers(0, 1 << 63, 5000).astype(np.uint64)
+    offsets = np.array([0, 2000, 5000])
+    want = minhash_dedup.sketches_of(items, offsets, 20, 3)
+    # With too few bits for the places, as many are taken as there are items.
+    monkeypatch.setattr(minhash_dedup, "_PLACE_BITS", 4)
+    assert (minhash_dedup.sketches_of(items, offsets, 20, 3) == want).all()
