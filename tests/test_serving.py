@@ -16,7 +16,7 @@ def inputs(spark):
         )
         products = spark.createDataFrame(list(top), TOP_SCHEMA)
         windows = spark.sql(
-            "SELECT timestamp '2015-06-04 05:55:00' AS window_start, timestamp '2015-06-04 06:00:00' AS "
+            "SELECT timestamp '2031-03-09 14:20:00' AS window_start, timestamp '2031-03-09 14:25:00' AS "
             "window_end, 5L AS event_count, 2L AS addtocart_count, 0L AS transaction_count, 0L AS "
             f"estimated_abandoned_count, 0.0D AS estimated_abandonment_rate, '{ids}' AS "
             "top_5_abandoned_item_ids, 'NORMAL' AS alert_status"
@@ -30,9 +30,9 @@ def test_view_and_sentence(inputs):
     view = ops.serving_view(*inputs()).collect()
     assert [tuple(row) for row in view] == [(71.238, 0.0, "NORMAL", 5120, 1310, 1041, "")]
     alert = ops.alert_summary(*inputs()).collect()[0]
-    assert str(alert["generated_from_window_end"]) == "2015-06-04 06:00:00"
+    assert str(alert["generated_from_window_end"]) == "2031-03-09 14:25:00"
     assert alert["report_summary"] == (
-        "Historical abandonment was 71.24%. The latest 2015-06-04 05:55:00 to 2015-06-04 06:00:00 window was "
+        "Historical abandonment was 71.24%. The latest 2031-03-09 14:20:00 to 2031-03-09 14:25:00 window was "
         "0.00% (NORMAL). Top historical abandoned item: 1041; recent top abandoned item: not available."
     )
 
