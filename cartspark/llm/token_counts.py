@@ -1,8 +1,9 @@
 """Token counts that follow edits.
 
 A document's pre-tokens (the pieces that no merge crosses) are grouped into leaves, and the leaves into a binary tree whose
-nodes hold characters and tokens below them. An edit re-splits and re-encodes only the leaves that it touches and one
-leaf of context on either side, until the pieces fall on an old leaf boundary again, and updates the sums above them.
+nodes hold characters and tokens below them. An edit re-splits and re-encodes only the leaves that it touches, until the
+pieces fall on an old leaf boundary again, and updates the sums above them. The leaf before is context only where nothing
+but white space lies between it and the edit: a piece looks past its end no further than that.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +19,9 @@ from pyspark.sql import functions as F
 from cartspark.llm.common import CHUNK_BYTES, split_batches
 from cartspark.llm.vocabulary import RANKS, SPLIT, encoding, read_ranks
 
-# A leaf closes with the pre-token that brings it to so many characters.
-LEAF_CHARACTERS = 2048
+# A leaf has the pre-tokens that begin in one stretch of so many characters; after an edit, it closes with the pre-token
+# that brings it to as many.
+LEAF_CHARACTERS = 128
 # Pre-tokens whose counts a task remembers, and the longest that it remembers.
 KEPT_PIECES = 200_000
 KEPT_LENGTH = 48
@@ -45,17 +48,14 @@ class Counter(dict):
 
 def leaves_of(text: str, counter: Counter, size: int = LEAF_CHARACTERS) -> list[tuple[int, int]]:
     """(characters, tokens) of consecutive leaves."""
-    leaves, pieces, length = [], [], 0
-    for match in SPLIT.finditer(text):
-        piece = match.group()
-        pieces.append(piece)
-        length += len(piece)
-        if length >= size:
-            leaves.append((length, counter.count(pieces)))
-            pieces, length = [], 0
-    if pieces:
-        leaves.append((length, counter.count(pieces)))
-    return leaves
+    pieces = SPLIT.findall(text)
+    if not pieces:
+        return []
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    tokens = np.fromiter(map(counter.__getitem__, pieces), np.int64, len(pieces))
+    stretch = (np.cumsum(lengths) - lengths) // size
+    heads = np.flatnonzero(np.append(True, stretch[1:] != stretch[:-1]))
+    return list(zip(np.add.reduceat(lengths, heads).tolist(), np.add.reduceat(tokens, heads).tolist(), strict=True))
 
 
 @dataclass
@@ -89,10 +89,10 @@ class SegmentTree:
             first //= 2
             last = None if last is None else last // 2
             stop = (len(below) + 1) // 2 if last is None else last + 1
-            sums = [
-                (sum(x[0] for x in below[2 * i : 2 * i + 2]), sum(x[1] for x in below[2 * i : 2 * i + 2]))
-                for i in range(first, stop)
-            ]
+            pairs = zip(below[2 * first : 2 * stop : 2], below[2 * first + 1 : 2 * stop : 2])
+            sums = [(a + c, b + d) for (a, b), (c, d) in pairs]
+            if len(sums) < stop - first:
+                sums.append(below[2 * stop - 2])
             if last is None:
                 above[first:] = sums
             else:
@@ -123,8 +123,9 @@ def apply_edit(
 ) -> tuple[str, int]:
     """Replace text[start:end]; returns the new text and the number of characters that were encoded again.
 
-    ``start`` and ``end`` are moved into the text. A piece may look one character past its end, so splitting begins one
-    leaf before the edit, and a boundary of old leaves counts as reached again only where the edit is behind it.
+    ``start`` and ``end`` are moved into the text. A piece may look past its end, over white space to the character
+    behind it, so splitting begins one leaf earlier if only that lies between; and a boundary of old leaves counts as
+    reached again only where the edit is behind it.
     """
     start = min(max(start, 0), len(text))
     end = min(max(end, start), len(text))
@@ -133,7 +134,7 @@ def apply_edit(
         tree.levels[:] = SegmentTree.build(leaves_of(new, counter, size)).levels
         return new, len(new)
     first, begin = tree.find(start)
-    if first:
+    if first and not text[begin:start].strip():
         first -= 1
         begin -= tree.leaves[first][0]
     last, last_begin = tree.find(end)

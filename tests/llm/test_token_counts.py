@@ -37,6 +37,24 @@ def test_an_edit_encodes_only_its_surroundings():
     assert encoded < 1000 and tree.total == (len(new), tokens(new))
 
 
+def test_two_edits_of_a_text_encode_a_tenth_of_it(spark):
+    from cartspark.llm.queries import op6_token_counts
+
+    rows = [r for r in op6_token_counts(spark, "/root/testdata/sf0.001").collect() if r.n_chars >= 2500]
+    assert rows and sum(r.n_encoded for r in rows) < 0.1 * sum(r.n_chars for r in rows)
+
+
+def test_white_space_before_an_edit_reaches_back():
+    for text in ("word   x and more", "a\n  \n  b c", "it'  s", "abc \t\n"):
+        for size in (1, 2, 3, 5):
+            for at in range(len(text) + 1):
+                for new in ("", " ", "\n", "y", "'"):
+                    for end in (at, at + 1):
+                        tree = SegmentTree.build(leaves_of(text, COUNTER, size))
+                        after, _ = apply_edit(text, tree, at, end, new, COUNTER, size)
+                        assert tree.total == (len(after), tokens(after)), (text, size, at, end, new)
+
+
 def test_whole_table_counts(spark):
     rows = [(1, "Hello there, it's me"), (2, None), (3, ""), (4, "x" * 3000), (None, " \n\n  a"), (1, "Hello there, it's me")]
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_tokens", F.lit("clash"))
