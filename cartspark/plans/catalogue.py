@@ -285,6 +285,19 @@ def stream_sliding_windows(spark: SparkSession, folder: str, width_minutes: int
     return flat(st.read_stream_windows(spark, f"{base}/data"))
 
 
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """All events in two runs of a stream, then a tenth of the first quarter once more, behind the watermark."""
+    base, rows = scratch_path(spark, "late"), canonical_events(event_log(spark, folder), keep=("event_id",))
+    first, last = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
+    early = F.col("timestamp") < first + (last - first) // 2
+    again = (F.col("timestamp") < first + (last - first) // 4) & (F.col("event_id") % 10 == 0)
+    for part in (rows.filter(early), rows.filter(~early), rows.filter(again)):
+        part.select(*EVENT_SCHEMA.names).write.mode("append").parquet(f"{base}/landing")
+        stream = st.stream_events(spark, f"{base}/landing", "parquet")
+        st.stream_sliding_windows(stream, f"{base}/data", f"{base}/checkpoint").awaitTermination()
+    return st.read_late_rows(spark, f"{base}/data").agg(F.sum("late_rows").alias("late_rows"))
+
+
 def stream_batch_estimates(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_path(spark, "estimates")
     stream = event_stream(spark, folder)
@@ -342,6 +355,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scanned_rows": scanned_rows,
     "stream_sliding_windows": stream_sliding_windows,
     "stream_sliding_windows_60m": lambda s, d: stream_sliding_windows(s, d, 60),
+    "stream_late_rows": stream_late_rows,
     "stream_batch_estimates": stream_batch_estimates,
     "ratio_to_baseline": ratio_to_baseline,
 }

@@ -290,3 +290,14 @@ SELECT fault, count(*) AS row_count FROM faulty WHERE fault IS NOT NULL GROUP BY
 UNION ALL SELECT NULL, count(*) FROM faulty""",
     "scanned_rows": f"WITH {FAULTS} SELECT event, CAST(visitorid AS VARCHAR) AS visitorid, fault AS faults FROM faulty WHERE fault IS NOT NULL",
 }
+
+# A late row is a minute and cart pair, or a minute for all other events.
+ORACLE_SQL["stream_late_rows"] = f"""WITH {EVENTS},
+bounds AS (SELECT min(timestamp) AS first, max(timestamp) AS last FROM ev),
+late AS (
+  SELECT DISTINCT timestamp // 60000 AS minute, event IN ('addtocart', 'transaction') AS in_cart,
+    CASE WHEN event IN ('addtocart', 'transaction') THEN visitorid END AS v,
+    CASE WHEN event IN ('addtocart', 'transaction') THEN itemid END AS i
+  FROM ev, bounds WHERE event_id % 10 = 0 AND timestamp < first + (last - first) // 4
+)
+SELECT CAST(count(*) AS BIGINT) AS late_rows FROM late"""
