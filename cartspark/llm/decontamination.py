@@ -2,31 +2,32 @@
 
 Each task is a shard: it sorts the suffixes of its documents' words that can begin a match and binary-searches every
 benchmark suffix in them, word by word. The ranges found give the longest verbatim matches and their places. No text is
-shuffled. The benchmark is sent in blocks of bounded size, all of which every shard searches.
+shuffled. The benchmark is sent in blocks of bounded size, a bounded number of them in one pass over the documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cartspark.llm.common import Chunk, Words, carried, shingles, split_batches, text_chunks, words_of
+from cartspark.llm.common import Chunk, Words, carried, shingles, split_batches, stored, text_chunks, words_of
 
 WINDOW = 10
 # A match is looked for from each place whose first words are those of some window.
 PREFIX = 3
 # Text of the benchmark that is sent at once.
 BLOCK_BYTES = 8_000_000
+# Blocks that are sent in one pass; a larger benchmark takes more passes.
+PASS_BLOCKS = 4
 _FILTER_BITS = 20
 
-RESULT = (
-    "n_words long, n_hit long, n_items long, item_ids array<string>, "
-    "matches array<struct<item_id:string,item_word:int,word:int,n_words:int>>"
-)
+MATCHES = "array<struct<item_id:string,item_word:int,word:int,n_words:int>>"
+RESULT = f"n_words long, n_hit long, n_items long, item_ids array<string>, matches {MATCHES}"
 
 
 @dataclass
@@ -215,31 +216,64 @@ def find_benchmark(
     called null; items that repeat an id count once. A carried column with the name of a result is replaced by it.
     """
     context = documents.sparkSession.sparkContext
-    blocks = [context.broadcast(block) for block in benchmark_blocks(benchmark, width)]
     results = [field.split(" ")[0] for field in RESULT.split(", ")]
     names = [c for c in carry if c not in results]
+    needed = list(dict.fromkeys([*names, text]))
+    # Matches of earlier passes go with their row.
+    earlier = "_matches"
+    while earlier in needed:
+        earlier += "_"
+    types = {c: f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in needed}
     span = pa.struct(
         [("item_id", pa.string()), ("item_word", pa.int32()), ("word", pa.int32()), ("n_words", pa.int32())]
     )
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in split_batches(batches, text):
-            rows = [row for chunk in text_chunks(batch.column(text)) for row in scan_chunk(chunk, blocks, width)]
-            items = [sorted({s["item_id"] for s in spans}) for _, _, spans in rows]
-            yield carried(
-                batch,
-                names,
-                {
-                    "n_words": pa.array([r[0] for r in rows], pa.int64()),
-                    "n_hit": pa.array([r[1] for r in rows], pa.int64()),
-                    "n_items": pa.array([len(i) for i in items], pa.int64()),
-                    "item_ids": pa.array(items, pa.list_(pa.string())),
-                    "matches": pa.array([r[2] for r in rows], pa.list_(span)),
-                },
-            )
-
-    kept = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in names)
-    return documents.select(*dict.fromkeys([*names, text])).mapInArrow(scan, f"{kept}, {RESULT}" if kept else RESULT)
+    def scan(blocks: list, last: bool):
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in split_batches(batches, text):
+                rows = [row for chunk in text_chunks(batch.column(text)) for row in scan_chunk(chunk, blocks, width)]
+                if earlier in batch.schema.names:
+                    before = batch.column(earlier).to_pylist()
+                    rows = [(n, covered(old + new), old + new) for (n, _, new), old in zip(rows, before, strict=True)]
+                spans = pa.array([r[2] for r in rows], pa.list_(span))
+                if not last:
+                    yield carried(batch, needed, {earlier: spans})
+                    continue
+                items = [sorted({s["item_id"] for s in found}) for _, _, found in rows]
+                yield carried(
+                    batch,
+                    names,
+                    {
+                        "n_words": pa.array([r[0] for r in rows], pa.int64()),
+                        "n_hit": pa.array([r[1] for r in rows], pa.int64()),
+                        "n_items": pa.array([len(i) for i in items], pa.int64()),
+                        "item_ids": pa.array(items, pa.list_(pa.string())),
+                        "matches": spans,
+                    },
+                )
+
+        return search
+
+    blocks = benchmark_blocks(benchmark, width)
+    rows, group = documents.select(*(f"`{c}`" for c in needed)), list(islice(blocks, PASS_BLOCKS))
+    while following := list(islice(blocks, PASS_BLOCKS)):
+        sent = [context.broadcast(block) for block in group]
+        schema = ", ".join([*types.values(), f"{earlier} {MATCHES}"])
+        rows = stored(rows.mapInArrow(scan(sent, False), schema), "benchmark-pass")
+        for block in sent:
+            block.destroy()
+        group = following
+    sent = [context.broadcast(block) for block in group]
+    return rows.mapInArrow(scan(sent, True), ", ".join([*(types[c] for c in names), RESULT]))
+
+
+def covered(spans: list[dict]) -> int:
+    """Words that lie in any of the spans."""
+    total, end = 0, 0
+    for first, last in sorted((s["word"], s["word"] + s["n_words"]) for s in spans):
+        total += max(last - max(first, end), 0)
+        end = max(end, last)
+    return total
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from cartspark.llm import decontamination
 from cartspark.llm.common import text_chunks, words_of
 from cartspark.llm.decontamination import Block, benchmark_blocks, decontaminate, find_benchmark, suffix_array
 from tests.llm.brute import benchmark_hits, words
@@ -73,6 +74,22 @@ def test_repeated_rows_all_come_back(spark):
     assert [r.n_hit for r in rows.collect()] == [12, 12, 12]
 
 
+def test_large_benchmarks_take_several_passes(spark, monkeypatch):
+    whole = decontamination.benchmark_blocks
+    monkeypatch.setattr(decontamination, "benchmark_blocks", lambda items, width: whole(items, width, 60))
+    monkeypatch.setattr(decontamination, "PASS_BLOCKS", 2)
+    test_random_texts_against_brute_force(spark)
+    test_windows_short_items_and_case(spark)
+    test_repeated_rows_all_come_back(spark)
+    items = spark.createDataFrame([(i, PASSAGE if i == 5 else f"item {i} of some words " * 3) for i in range(9)], ITEMS)
+    rows = [(1, PASSAGE, "x"), (2, "clean", None)]
+    clash = spark.createDataFrame(rows, DOCS + ", _matches string")
+    assert [tuple(r) for r in decontaminate(clash, items).collect()] == [rows[1]]
+    found = {r.doc_id: r for r in find_benchmark(clash, items, ("doc_id", "_matches")).collect()}
+    assert found[1]["_matches"] == "x" and [tuple(m) for m in found[1].matches] == [("5", 0, 0, 12)]
+    assert find_benchmark(clash.limit(0), items).count() == 0
+
+
 def test_blocks_bound_what_is_sent(spark):
     items = spark.createDataFrame([(i, PASSAGE) for i in range(7)], ITEMS)
     blocks = list(benchmark_blocks(items, 10, 130))
