@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -144,10 +145,25 @@ def carried(batch: pa.RecordBatch, names: list[str], results: dict[str, pa.Array
     return pa.RecordBatch.from_arrays([*columns.values(), *results.values()], names=[*columns, *results])
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker stays when its task is done, and holds on to it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def split_batches(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = 16 * CHUNK_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``limit`` bytes of text, so that what a task returns at once stays small."""
+    try:
+        yield from _split_batches(batches, column, limit)
+    finally:
+        give_back()
+
+
+def _split_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths.astype(np.int64))

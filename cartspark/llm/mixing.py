@@ -134,8 +134,13 @@ def mix_sources(
     has size 0 and is taken 0 times. Null is a source like any other, last in order. Rows that repeat an id are
     documents of their own. Without documents there are no rows. Only doc_id, text and source are read.
     """
+    numbered = [F.monotonically_increasing_id().alias("_row"), *carry] if carry else []
     sized = stored(
-        documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry), "mix-sizes"
+        documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), *numbered), "mix-sizes"
+    )
+    # What is carried goes neither through windows nor sorts; it is joined in the end, by numbers that the table fixes.
+    carried, sized = sized.select(*(["_row", *carry] if carry else [])), sized.select(
+        "doc_id", "source", "size", *(["_row"] if carry else [])
     )
     rows = sized.count()
     shards = max(1, -(-rows // shard_documents))
@@ -207,7 +212,7 @@ def mix_sources(
             (F.least((b + 1) * block_words, F.col("_end")) - F.col("_begin")).alias("last"),
         ),
     )
-    return joined.select(
+    mixed = joined.select(
         "d.doc_id",
         "d.source",
         "size",
@@ -216,5 +221,10 @@ def mix_sources(
         taken.cast("long").alias("taken"),
         F.when(F.col("size") > 0, F.col("_passes")).otherwise(0).cast("int").alias("passes"),
         F.when(F.col("size") > 0, chosen).alias("blocks"),
-        *(f"d.{name}" for name in carry),
+        *(["d._row"] if carry else []),
     )
+    if not carry:
+        return mixed
+    # The rows without texts are the side that is held, a partition at a time; texts pass by.
+    whole = carried.join(mixed.hint("shuffle_hash"), "_row")
+    return whole.select(*(c for c in mixed.columns if c != "_row"), *carry)
