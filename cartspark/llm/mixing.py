@@ -226,5 +226,7 @@ def mix_sources(
     if not carry:
         return mixed
     # The rows without texts are the side that is held, a partition at a time; texts pass by.
-    whole = carried.join(mixed.hint("shuffle_hash"), "_row")
+    # Row numbers are high and low bits with gaps between, which a hash table of single numbers holds badly: two keys.
+    part = F.shiftright("_row", 33).alias("_part")
+    whole = carried.select("*", part).join(mixed.select("*", part).hint("shuffle_hash"), ["_row", "_part"])
     return whole.select(*(c for c in mixed.columns if c != "_row"), *carry)
