@@ -353,12 +353,16 @@ class Packer:
         head = np.append(True, gram[1:] != gram[:-1])[: len(gram)]
         sent = ~wide | head
         at = left[sent].astype(np.uint32) | (wide[sent].astype(np.uint32) << np.uint32(31))
-        gram, run = gram[sent], run[sent]
-        tables = {"docs": raw(doc, "i8", True), "marks": raw(mark, "u4"), "firsts": raw(first, "u4", True)}
+        gram, run, of = gram[sent], run[sent], text[left[sent]]
         bucket = bucket_of(gram, self.buckets)
         for a, b in split(bucket):
-            yield tables | {
+            # Only the documents that have runs in this bucket.
+            own = np.unique(of[a:b])
+            yield {
                 "_key": int(bucket[a]),
+                "docs": raw(doc[own], "i8", True),
+                "marks": raw(mark[own], "u4"),
+                "firsts": raw(first[own], "u4", True),
                 "at": raw(at[a:b], "u4"),
                 "gram": raw(within_bucket(gram[a:b], int(bucket[a]), self.buckets), "u4", True),
                 "run_high": raw(run[a:b] >> np.uint64(32), "u4"),

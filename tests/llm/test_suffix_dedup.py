@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from cartspark.llm import suffix_dedup
-from cartspark.llm.suffix_dedup import IndexFamily, merge_spans, remove_repeats, runs_of
+from cartspark.llm.suffix_dedup import IndexFamily, Packer, merge_spans, remove_repeats, runs_of
 from tests.llm.brute import cut_repeats
 
 DOCS = "doc_id long, text string"
@@ -108,6 +108,25 @@ def test_levels_merge_geometrically_and_find_earlier_runs():
     assert [level.rank for level in family.levels] == [3, 1, 0]
 
 
+def test_a_pack_is_as_large_for_many_buckets_as_for_few():
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(100, 900, 2000)
+    data = rng.integers(97, 123, lengths.sum()).astype(np.uint8)
+    offsets = np.concatenate(([0], np.cumsum(lengths)))
+    runs = runs_of(data, offsets, 50, 20)
+
+    def packed(buckets):
+        packer = Packer(buckets, 10)
+        packer.add(len(data), np.arange(2000), np.zeros(2000, np.uint32), runs)
+        rows = [row for row in packer.rows() if row["_key"] < buckets]
+        return sum(len(v) for row in rows for v in row.values() if isinstance(v, bytes)), rows
+
+    few, many = packed(43), packed(4301)
+    # What is left is the frame of each column of a row, not the documents of the pack.
+    assert many[0] < 2.5 * few[0] and len(many[1]) > 50 * len(few[1])
+    assert max(len(row["docs"]) for row in many[1]) < 100
+
+
 def test_spans_join_where_they_touch():
     first, last = merge_spans(np.array([10, 0, 5, 30]), np.array([12, 5, 9, 31]))
     assert list(zip(first.tolist(), last.tolist())) == [(0, 9), (10, 12), (30, 31)]
